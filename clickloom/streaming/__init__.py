@@ -1,0 +1,4 @@
+"""No streaming operators: the engine is batch only, as is the work it reproduces.
+
+The expressions in ``clickloom.functions`` are stateless, so they also run on a streaming DataFrame.
+"""
