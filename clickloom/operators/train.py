@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import Imputer, ImputerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom import defaults as d
@@ -16,6 +17,7 @@ from clickloom.functions.columns import drop_columns, numeric_columns
 from clickloom.functions.keys import draw, draw_bucket, hash_fold, hash_split
 from clickloom.operators.calibrate import probability
 from clickloom.operators.metrics import metric_bundle
+from clickloom.sources.files import read_text, write_text
 
 
 def load_frames(train: DataFrame, test: DataFrame, drop: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -26,58 +28,56 @@ def load_frames(train: DataFrame, test: DataFrame, drop: Iterable[str] = ()) ->
 
 @dataclass
 class FeatureAssembler:
-    """Numeric columns to a vector; nulls are imputed by the median and marked by a flag column."""
+    """Numeric columns to a vector; nulls and NaN become the (approximate) median, marked by a flag."""
 
     exclude: Sequence[str] = (d.LABEL, d.ROW_KEY, d.TEST_ID)
     parity: bool = False
-    output: str = "features"
 
     def fit(self, df: DataFrame, columns: Sequence[str] | None = None) -> "AssemblerModel":
         names = list(columns) if columns else numeric_columns(df, self.exclude, self.parity)
         if not names:
             raise ValueError("no numeric feature columns")
-        plain = df.select([F.col(c).cast("double").alias(c) for c in names])
-        holes = plain.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in names],
-                          F.count("*").alias("_rows")).first()
-        flagged = [c for c in names if holes[c]]
-        # a column without any value cannot be imputed and becomes zero
-        empty = [c for c in flagged if holes[c] == holes["_rows"]]
-        filled = [c for c in flagged if c not in empty]
-        imputer = None
-        if filled:
-            imputer = Imputer(inputCols=filled, outputCols=[f"{c}_filled" for c in filled],
-                              strategy="median", relativeError=0.001).fit(plain)
-        return AssemblerModel(names, flagged, empty, imputer, self.output)
+        x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in names}
+        row = df.agg(*[e for i, c in enumerate(names) for e in (
+            F.count_if(x[c].isNull()).alias(f"h{i}"), F.percentile_approx(x[c], 0.5, 1000).alias(f"m{i}"))]).first()
+        # a column without any value has no median and becomes zero
+        fills = {c: row[f"m{i}"] or 0.0 for i, c in enumerate(names) if row[f"h{i}"]}
+        return AssemblerModel(names, fills)
 
 
 @dataclass
 class AssemblerModel:
     columns: list[str]
-    flagged: list[str]
-    empty: list[str]
-    imputer: ImputerModel | None
-    output: str
+    fills: dict[str, float]
 
     @property
     def feature_names(self) -> list[str]:
-        return [*self.columns, *[f"{c}_isnull" for c in self.flagged]]
+        return [*self.columns, *[f"{c}_isnull" for c in self.fills]]
 
     def transform(self, df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
         """Columns to keep plus the feature vector; features are matched by name, absent ones are zero."""
         keep = [c for c in dict.fromkeys(keep) if c in df.columns]
-        kept = [F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)]
         have = set(df.columns)
-        df = df.select(*kept, *[
-            (F.col(c).cast("double") if c in have else F.lit(0.0)).alias(c) for c in self.columns])
-        flags = {f"{c}_isnull": (F.col(c).isNull() | F.isnan(c)).cast("double") for c in self.flagged}
-        df = df.withColumns(flags) if flags else df
-        if self.imputer:
-            df = self.imputer.transform(df)
-            df = df.withColumns({c: F.col(f"{c}_filled") for c in self.flagged if c not in self.empty})
-        if self.empty:
-            df = df.withColumns({c: F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0)) for c in self.empty})
-        df = VectorAssembler(inputCols=self.feature_names, outputCol=self.output).transform(df)
-        return df.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], self.output)
+        out = []
+        for i, c in enumerate(self.columns):
+            raw = F.col(c).cast("double") if c in have else F.lit(0.0)
+            x = F.nanvl(raw, F.lit(None).cast("double"))
+            # a hole in a column that had none in training has no flag of its own
+            out.append(F.coalesce(x, F.lit(float(self.fills.get(c, 0.0)))).alias(f"_x{i}"))
+            if c in self.fills:
+                out.append(x.isNull().cast("double").alias(f"_n{i}"))
+        names = [f"_x{i}" for i in range(len(self.columns))]
+        names += [f"_n{self.columns.index(c)}" for c in self.fills]
+        wide = df.select(*keep, *out)
+        return VectorAssembler(inputCols=names, outputCol="features").transform(wide).select(*keep, "features")
+
+    def to_json(self) -> str:
+        return json.dumps({"columns": self.columns, "fills": self.fills})
+
+    @classmethod
+    def from_json(cls, text: str) -> "AssemblerModel":
+        data = json.loads(text)
+        return cls(data["columns"], data["fills"])
 
 
 @dataclass(frozen=True)
@@ -131,11 +131,14 @@ class FoldModels:
         """One model directory per fold, numbered from 1."""
         for i, model in enumerate(self.models, start=1):
             model.write().overwrite().save(f"{path}/fold_{i}")
+        spark = SparkSession.getActiveSession()
+        write_text(spark, f"{path}/features.json", self.assembler.to_json())
 
 
-def load_models(path: str, folds: int = d.FOLDS) -> list[GBTClassificationModel]:
-    """A17."""
-    return [GBTClassificationModel.load(f"{path}/fold_{i}") for i in range(1, folds + 1)]
+def load_models(spark: SparkSession, path: str, folds: int = d.FOLDS) -> FoldModels:
+    """The fold models with the feature list they were trained on."""
+    assembler = AssemblerModel.from_json(read_text(spark, f"{path}/features.json"))
+    return FoldModels([GBTClassificationModel.load(f"{path}/fold_{i}") for i in range(1, folds + 1)], assembler)
 
 
 def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int = d.FOLDS, label: str = d.LABEL,

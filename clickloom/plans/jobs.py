@@ -163,7 +163,7 @@ def weighted(train: DataFrame, day_weight: float, early_weight: float, early_hou
     needed = (["day_of_week"] if by_day or by_hour else []) + (["hour"] if by_hour else [])
     require_columns(train, needed, "train")
     value = sample_weight(day_weight if by_day else 1.0, early_weight if by_hour else 1.0,
-                          early_hour if by_hour else -1, positive_weight)if needed else (
+                          early_hour if by_hour else -1, positive_weight) if needed else (
         F.when(F.col(d.LABEL) == 1, F.lit(float(positive_weight))).otherwise(1.0))
     out = train.withColumn("_weight", value)
     days = F.count_if(in_slice()) if needed else F.lit(1)
@@ -238,18 +238,11 @@ def tune(spark: SparkSession, train_path: str, output: str, trials: int = 10, fo
     return search.run(tables.with_row_key(train))
 
 
-def score_table(spark: SparkSession, data_path: str, models_path: str, train_path: str, output: str,
-                folds: int = d.FOLDS) -> DataFrame:
-    """Stored fold models over a whole table, written as ``row_idx, clicked, raw_pred``.
-
-    The feature assembly is refitted on the training table the models came from.
-    """
-    from clickloom.operators.train import FeatureAssembler
-
-    assembler = FeatureAssembler().fit(spark.read.parquet(train_path).drop("seq"))
+def score_table(spark: SparkSession, data_path: str, models_path: str, output: str, folds: int = d.FOLDS) -> DataFrame:
+    """Stored fold models over a whole table in one pass, written as ``row_idx, clicked, raw_pred``."""
+    models = load_models(spark, models_path, folds)
     data = spark.read.parquet(data_path)
-    require_columns(data, assembler.columns, "data")
-    models = FoldModels(load_models(models_path, folds), assembler)
+    require_columns(data, models.assembler.columns, "data")
     sinks.write_parquet(models.score(data, [d.ROW_KEY, d.LABEL]), output)
     return spark.read.parquet(output)
 

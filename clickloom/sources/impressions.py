@@ -59,7 +59,8 @@ def impressions(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Dat
     )
     if with_seq:
         docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), word_lengths(F.col("text")).alias("seq"))
-        df = df.withColumn("_doc", F.floor(F.col("row_idx") / 10)).join(docs, "_doc", "left").drop("_doc")
+        df = df.withColumn("_doc", F.expr("row_idx div 10")).join(docs, "_doc", "left").drop("_doc")
+        df = df.withColumn("seq", F.when(F.col("row_idx") % 71 != 7, F.col("seq")))
     return df
 
 

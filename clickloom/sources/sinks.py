@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom import defaults as d
+from clickloom.sources.files import write_text
 
 METRIC_COLUMNS = ("run_id string, stage string, dataset string, ap double, logloss double, wll double, "
                   "competition_score double, notes string")
@@ -23,17 +24,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_text(spark: SparkSession, path: str, content: str) -> None:
-    """A small file (report, metadata) on whatever file system the path names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        stream.write(bytearray(content, "utf-8"))
-    finally:
-        stream.close()
-
-
 def write_json(spark: SparkSession, path: str, data: dict) -> None:
     write_text(spark, path, json.dumps(data, indent=2, ensure_ascii=False, allow_nan=False))
 

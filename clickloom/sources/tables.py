@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom import defaults as d
 from clickloom.functions.columns import require_columns
 from clickloom.operators.eda import table_summary
+from clickloom.sources.files import read_text
 
 
 def data_paths(root: str = "data", env: Mapping[str, str] | None = None) -> dict[str, str]:
@@ -62,10 +63,6 @@ def fill_sample_submission(spark: SparkSession, csv_path: str, predictions: Data
     return ids.join(scores, row_id, "left")
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
-
-
 def read_json_object(spark: SparkSession, path: str) -> dict:
     """A small metadata file."""
     return json.loads(read_text(spark, path))
