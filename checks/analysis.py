@@ -23,6 +23,10 @@ def targets(spark, sf) -> DataFrame:
     return C.target_correlations(imp.feature_table(spark, sf), FEATURES)
 
 
+def both(spark, sf) -> C.CorrelationTables:
+    return C.correlation_tables(imp.feature_table(spark, sf), FEATURES)
+
+
 P = f"WITH RECURSIVE {S.FT}, {S.PAIRS}"
 T_ = f"WITH {S.FT}, {S.TARGETS}"
 PT = f"WITH RECURSIVE {S.FT}, {S.PAIRS}, {S.TARGETS}, {S.RANKED}"
@@ -77,7 +81,7 @@ def group_corr_pairs(spark, sf):
   SELECT *, row_number() OVER (PARTITION BY feature1 ORDER BY abs(correlation) DESC, feature2) AS rnk FROM bw
   WHERE feature1 IN {LIST} AND feature2 NOT IN {LIST}) WHERE rnk <= 5""")
 def top_partners(spark, sf):
-    return C.top_partners(pairs(spark, sf), LISTED, 5).select("feature1", "feature2", r6("correlation"), "rank")
+    return C.top_partners(both(spark, sf).pairs, LISTED, 5).select("feature1", "feature2", r6("correlation"), "rank")
 
 
 @query("target_correlation", f"{T_} SELECT feature, round(correlation, 6) AS correlation, round(a, 6) AS abs_correlation FROM targets")
@@ -122,7 +126,8 @@ _CAND = """cand AS (SELECT p.feature1, p.feature2, abs(p.correlation) AS c, x.a
 @query("interaction_candidates", f"""{PT}, {_CAND} SELECT feature1, feature2, round(c, 6) AS feature_correlation,
   round(a1, 6) AS feat1_target_corr, round(a2, 6) AS feat2_target_corr, round(s, 6) AS interaction_score FROM cand""")
 def interaction_candidates(spark, sf):
-    df = C.interaction_candidates(pairs(spark, sf), targets(spark, sf))
+    t = both(spark, sf)
+    df = C.interaction_candidates(t.pairs, t.targets)
     return df.select("feature1", "feature2", *[r6(c) for c in df.columns[2:]])
 
 
@@ -130,7 +135,8 @@ def interaction_candidates(spark, sf):
 SELECT feature1, {S.group_of('feature1')} AS group1, feature2, {S.group_of('feature2')} AS group2, round(s, 6) AS interaction_score
 FROM b WHERE {S.group_of('feature1')} <> {S.group_of('feature2')} ORDER BY s DESC, feature1, feature2 LIMIT 10""")
 def cross_group_candidates(spark, sf):
-    df = C.cross_group_candidates(C.interaction_candidates(pairs(spark, sf), targets(spark, sf)))
+    t = both(spark, sf)
+    df = C.cross_group_candidates(C.interaction_candidates(t.pairs, t.targets))
     return df.withColumn("interaction_score", F.round("interaction_score", 6))
 
 
@@ -144,7 +150,8 @@ FROM w LEFT JOIN bw ON bw.feature1 = w.feature1 AND bw.feature2 = w.feature2
 def named_pairs(spark, sf):
     wanted = [("history_a_1", "feat_e_3"), ("history_b_1", "history_a_2"), ("history_a_1", "inventory_id"),
               ("age_group", "day_of_week")]
-    df = C.named_pairs(pairs(spark, sf), targets(spark, sf), wanted)
+    t = both(spark, sf)
+    df = C.named_pairs(t.pairs, t.targets, wanted)
     return df.select("feature1", "feature2", r6("correlation"), r6("target_corr1"), r6("target_corr2"), "missing")
 
 
@@ -157,8 +164,9 @@ red AS (SELECT component, feature, correlation, row_number() OVER (PARTITION BY
 
 
 def _redundant(spark, sf) -> DataFrame:
-    steady = targets(spark, sf).withColumn("abs_correlation", F.round("abs_correlation", 9))
-    return C.redundancy_groups(pairs(spark, sf), steady, 0.95)
+    t = both(spark, sf)
+    steady = t.targets.withColumn("abs_correlation", F.round("abs_correlation", 9))
+    return C.redundancy_groups(t.pairs, steady, 0.95)
 
 
 @query("redundancy_groups", f"{PT}, {_REACH} SELECT component, feature, round(correlation, 6) AS correlation, keep FROM red")
@@ -202,7 +210,7 @@ n AS (SELECT feature1 AS f FROM t UNION SELECT feature2 FROM t)
 SELECT feature1, feature2, round(correlation, 6) AS correlation FROM pairs
 WHERE feature1 IN (SELECT f FROM n) AND feature2 IN (SELECT f FROM n)""")
 def top_pair_submatrix(spark, sf):
-    return C.top_pair_submatrix(pairs(spark, sf), 6).select("feature1", "feature2", r6("correlation"))
+    return C.top_pair_submatrix(both(spark, sf).pairs, 6).select("feature1", "feature2", r6("correlation"))
 
 
 # ---------------------------------------------------------------- training (J5-J8, J15-J21, M7); no SQL form

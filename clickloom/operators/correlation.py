@@ -1,88 +1,56 @@
 """Correlation tables and the feature-selection analyses on top of them.
 
-Two scans build every table: one for counts and means, one for sums of centred products.  What follows
-works on tables with one row per feature or per feature pair, so their size depends on the number of
-columns only.
+One scan builds the table of all pairs.  What follows works on tables with one row per feature or per
+feature pair, so their size depends on the number of columns only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import feature_group, trailing_index
 from clickloom.session import use_checkpoint_dir
 
-PAIR_SCHEMA = "feature1 string, feature2 string, correlation double"
-# more pairs than this are summed as matrix products in Arrow batches instead of SQL expressions
-EXPRESSION_PAIRS = 300
-
-
-def _profile(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Mean, presence of nulls and constancy per column: one row on the driver."""
-    row = df.agg(F.count("*").alias("_rows"), *[e for i, c in enumerate(columns) for e in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.count(c).alias(f"n{i}"),
-        (F.min(c) == F.max(c)).alias(f"k{i}"))]).first()
-    return {c: {"mean": row[f"m{i}"] or 0.0, "full": row[f"n{i}"] == row["_rows"],
-                "flat": row[f"k{i}"] is not False} for i, c in enumerate(columns)}
-
-
-def _correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
-    spread = F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n))
-    value = F.when(n > 1, F.try_divide(sxy - sx * sy / n, spread))
-    return F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0))
-
-
-def _by_expressions(df: DataFrame, pairs: Sequence[tuple[str, str]], profile: Mapping[str, dict]) -> DataFrame:
-    """All sums as SQL expressions of one aggregate; sums shared between pairs are computed once."""
-    x = {c: F.col(c).cast("double") - F.lit(profile[c]["mean"]) for p in pairs for c in p}
-    sums: dict[tuple, str] = {}
-
-    def total(kind: str, a: str, b: str) -> Column:
-        # a column without nulls does not restrict the rows of its partner
-        mask = tuple(sorted(c for c in {a, b} if not profile[c]["full"]))
-        of = tuple(sorted((a, b))) if kind == "xy" else ((a,) if kind != "n" else ())
-        return F.col(sums.setdefault((kind, of, mask if kind != "xy" else ()), f"s{len(sums)}"))
-
-    structs = []
-    for a, b in pairs:
-        if profile[a]["flat"] or profile[b]["flat"]:
-            value = F.lit(None).cast("double")
-        else:
-            value = _correlation(total("n", a, b).cast("double"), total("x", a, b), total("x", b, a),
-                                 total("xx", a, b), total("xx", b, a), total("xy", a, b))
-        structs.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"), value.alias("correlation")))
-
-    aggregates = []
-    for (kind, of, mask), name in sums.items():
-        if kind == "n":
-            value = F.lit(1)
-        elif kind == "x":
-            value = x[of[0]]
-        elif kind == "xx":
-            value = x[of[0]] * x[of[0]]
-        else:
-            value = x[of[0]] * x[of[-1]]
-        for c in mask:
-            value = F.when(F.col(c).isNotNull(), value)
-        aggregates.append((F.count(value) if kind == "n" else F.sum(value)).alias(name))
-    one = df.agg(*aggregates) if aggregates else df.sparkSession.range(1)
-    return one.select(F.inline(F.array(*structs)))
-
-
-def _by_products(df: DataFrame, columns: Sequence[str], profile: Mapping[str, dict]) -> DataFrame:
-    """Sums of products as matrix products: each task adds up its batches and emits one row per pair."""
-    means = np.array([profile[c]["mean"] for c in columns])
+# Up to this many pairs are built-in aggregates.  Beyond it their generated code outgrows the JIT compiler
+# (66 pairs: 4 times slower), and matrix products over Arrow batches take over.
+EXPRESSION_PAIRS = 8
+SHIFT_ROWS = 1000
+
+
+def _by_expressions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    structs, aggregates = [], []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        aggregates += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"a{i}"),
+                       F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"b{i}")]
+        value = F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}"))
+        structs.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
+                                F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)).alias("correlation")))
+    return df.agg(*aggregates).select(F.inline(F.array(*structs)))
+
+
+def _by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sums of products as matrix products: each task adds up its batches and emits one row per pair.
+
+    The columns are shifted by the mean of a few rows before they are squared, which keeps the sums
+    accurate for columns far from zero; the correlation does not depend on the shift.
+    """
+    columns = list(columns)
+    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    head = numbers.limit(SHIFT_ROWS).agg(*[F.avg(c) for c in columns]).first()
+    shift = np.array([v if v is not None and np.isfinite(v) else 0.0 for v in head])
     p = len(columns)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
         for batch in batches:
-            values = batch.to_numpy(dtype=np.float64, na_value=np.nan) - means
+            values = batch.to_numpy(dtype=np.float64, na_value=np.nan) - shift
             there = ~np.isnan(values)
             mask = there.astype(np.float64)
             values[~there] = 0.0
@@ -94,37 +62,59 @@ def _by_products(df: DataFrame, columns: Sequence[str], profile: Mapping[str, di
         yield pd.DataFrame({"i": i, "j": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
                             "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j]})
 
-    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
     names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     partials = numbers.mapInPandas(partial, "i int, j int, " + ", ".join(f"{c} double" for c in names))
     sums = partials.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
-    label = F.array(*[F.lit(c) for c in columns])
-    flat = F.array(*[F.lit(bool(profile[c]["flat"])) for c in columns])
-    value = F.when(~(flat[F.col("i")] | flat[F.col("j")]), _correlation(*[F.col(c) for c in names]))
+    c = {name: F.col(name) for name in names}
+    vx, vy = c["sxx"] - c["sx"] * c["sx"] / c["n"], c["syy"] - c["sy"] * c["sy"] / c["n"]
+    # a constant column leaves nothing but rounding
+    varied = (c["n"] > 1) & (vx > c["sxx"] * 1e-14) & (vy > c["syy"] * 1e-14)
+    value = F.when(varied, (c["sxy"] - c["sx"] * c["sy"] / c["n"]) / F.sqrt(vx * vy))
+    label = F.array(*[F.lit(name) for name in columns])
     return sums.select(label[F.col("i")].alias("feature1"), label[F.col("j")].alias("feature2"),
-                       value.alias("correlation"))
+                       F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)).alias("correlation"))
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
-    """Pearson correlation of every pair, over the rows where both are present.
+    """Pearson correlation of every pair, over the rows where both are present; one scan.
 
     Rows ``(feature1, feature2, correlation)`` for the upper triangle in list order; null when undefined.
     """
     columns = list(columns)
-    profile = _profile(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    if len(pairs) <= expression_pairs:
-        return _by_expressions(df, pairs, profile)
-    return _by_products(df, columns, profile)
+    return _by_expressions(df, pairs) if len(pairs) <= expression_pairs else _by_products(df, columns)
 
 
-def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL) -> DataFrame:
+def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL,
+                        expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
     """K6: ``(feature, correlation, abs_correlation)`` with the target."""
     columns = [c for c in columns if c != target]
-    profile = _profile(df, [*columns, target])
-    pairs = _by_expressions(df, [(c, target) for c in columns], profile)
-    return pairs.select(F.col("feature1").alias("feature"), "correlation",
-                        F.abs("correlation").alias("abs_correlation"))
+    if len(columns) <= expression_pairs:
+        return _with_target(_by_expressions(df, [(c, target) for c in columns]), target)
+    return _with_target(_by_products(df, [*columns, target]), target)
+
+
+def _with_target(pairs: DataFrame, target: str) -> DataFrame:
+    own = pairs.where(F.col("feature2") == target)
+    return own.select(F.col("feature1").alias("feature"), "correlation", F.abs("correlation").alias("abs_correlation"))
+
+
+@dataclass
+class CorrelationTables:
+    """Feature pairs and target correlations from one scan, kept: a row per pair is small and read often."""
+
+    pairs: DataFrame
+    targets: DataFrame
+    kept: DataFrame
+
+    def release(self) -> None:
+        self.kept.unpersist()
+
+
+def correlation_tables(df: DataFrame, columns: Sequence[str], target: str = d.LABEL) -> CorrelationTables:
+    columns = [c for c in columns if c != target]
+    kept = correlation_pairs(df, [*columns, target]).persist()
+    return CorrelationTables(kept.where(F.col("feature2") != target), _with_target(kept, target), kept)
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
