@@ -11,11 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import feature_group, trailing_index
-from clickloom.session import use_checkpoint_dir
+from clickloom.session import cut_lineage
 
 # Up to this many pairs are built-in aggregates.  Beyond it their generated code outgrows the JIT compiler
 # (66 pairs: 4 times slower), and matrix products over Arrow batches take over.
@@ -23,15 +23,22 @@ EXPRESSION_PAIRS = 8
 SHIFT_ROWS = 1000
 
 
+def _within_one(r: Column) -> Column:
+    # least and greatest skip nulls, and an undefined correlation has to stay null
+    return F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+
+
 def _by_expressions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     structs, aggregates = [], []
     for i, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        aggregates += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"a{i}"),
-                       F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"b{i}")]
-        value = F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}"))
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        aggregates += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"a{i}"), F.stddev_pop(y).alias(f"b{i}"),
+                       # merged partial deviations of a constant need not be exactly zero
+                       ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias(f"v{i}")]
+        value = F.when(F.col(f"v{i}"), F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}")))
         structs.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                                F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)).alias("correlation")))
+                                _within_one(value).alias("correlation")))
     return df.agg(*aggregates).select(F.inline(F.array(*structs)))
 
 
@@ -72,7 +79,7 @@ def _by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     value = F.when(varied, (c["sxy"] - c["sx"] * c["sy"] / c["n"]) / F.sqrt(vx * vy))
     label = F.array(*[F.lit(name) for name in columns])
     return sums.select(label[F.col("i")].alias("feature1"), label[F.col("j")].alias("feature2"),
-                       F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)).alias("correlation"))
+                       _within_one(value).alias("correlation"))
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
@@ -228,23 +235,21 @@ def components(edges: DataFrame, a: str = "feature1", b: str = "feature2") -> Da
     """Connected components as ``(node, component)``; a component is named by its smallest node.
 
     Every round takes the smallest label among the neighbours and then the label of that label, so chains
-    shrink fast; each round is checkpointed, which keeps the plan short.
+    shrink fast; each round is written out, which keeps the plan short.
     """
-    use_checkpoint_dir(edges.sparkSession)
-    links = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct().checkpoint()
-    labels = links.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("label")).select(
-        F.col("src").alias("node"), "label").checkpoint()
+    one = edges.select(F.col(a).alias("node"), F.col(b).alias("near"))
+    links = cut_lineage(one.unionByName(one.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct())
+    labels = cut_lineage(links.groupBy("node").agg(F.least("node", F.min("near")).alias("label")))
     while True:
-        around = links.join(labels, links["dst"] == labels["node"]).groupBy("src").agg(F.min("label").alias("_near"))
-        near = labels.join(around, labels["node"] == around["src"]).select(
-            "node", F.col("label").alias("_old"), F.least("label", "_near").alias("_new"))
-        jump = near.select(F.col("node").alias("_via"), F.col("_new").alias("_far"))
-        moved = near.join(jump, near["_new"] == jump["_via"]).select(
-            "node", "_old", F.least("_new", "_far").alias("label")).checkpoint()
-        labels = moved.select("node", "label")
-        if moved.where(F.col("_old") != F.col("label")).isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+        seen = links.join(labels.select(F.col("node").alias("near"), "label"), "near").groupBy("node").agg(
+            F.min("label").alias("around"))
+        moved = labels.join(seen, "node").select("node", "label", F.least("label", "around").alias("via"))
+        # the label is itself a node: take the label that node has by now
+        jump = moved.select(F.col("node").alias("via"), F.col("via").alias("far"))
+        moved = cut_lineage(moved.join(jump, "via").select("node", "label", F.least("via", "far").alias("next")))
+        labels = moved.select("node", F.col("next").alias("label"))
+        if moved.where(F.col("next") != F.col("label")).isEmpty():
+            return labels.withColumnRenamed("label", "component")
 
 
 def redundancy_groups(pairs: DataFrame, targets: DataFrame, threshold: float = 0.99) -> DataFrame:

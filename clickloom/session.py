@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -48,6 +49,17 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
 ONE_TASK_ROWS = 1_000_000
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it back.
+
+    For loops this is better than ``checkpoint``, whose result keeps the size estimate of its old plan:
+    estimates of repeated joins multiply from round to round.
+    """
+    path = f"{use_checkpoint_dir(df.sparkSession)}/clickloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass
 class Measured:
     """A persisted table whose row count is known, so that join strategies rest on a measured size.
