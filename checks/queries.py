@@ -13,6 +13,7 @@ from clickloom.operators.crossfit import SliceDelta, SliceDeltas
 from clickloom.operators.train import load_frames
 from clickloom.plans import jobs
 from clickloom.plans.preprocess import Preprocessor
+from clickloom.session import cut_lineage
 from clickloom.sources import impressions as imp
 
 PAIRS = d.TARGET_ENCODED_PAIRS
@@ -185,9 +186,10 @@ def seq_features(spark, sf):
 @query("seq_len_bucket", f"""WITH {S.SEQS} SELECT row_idx, {S.buckets(S.LEN, '5000+')} AS seq_len_bucket,
   {S.buckets(f'coalesce({S.LEN}, 0)', '10000+', True)} AS seq_bucket FROM seqs""")
 def seq_len_bucket(spark, sf):
-    return imp.sequences(spark, sf).select(
-        "row_idx", sequence.seq_len_bucket(sequence.seq_length()).alias("seq_len_bucket"),
-        sequence.seq_report_bucket(sequence.seq_length(null_as_zero=True)).alias("seq_bucket"))
+    df = imp.sequences(spark, sf).withColumns({
+        "n": sequence.seq_length(), "n0": sequence.seq_length(null_as_zero=True)})
+    return df.select("row_idx", sequence.seq_len_bucket(F.col("n")).alias("seq_len_bucket"),
+                     sequence.seq_report_bucket(F.col("n0")).alias("seq_bucket"))
 
 
 @query("seq_cross", f"""WITH {S.IMP_SEQ}, f AS (SELECT row_idx, day_of_week, hour, {S.LEN} AS n,
@@ -220,10 +222,10 @@ def seq_diversity(spark, sf):
     return eda.diversity_rates(imp.sequences(spark, sf))
 
 
-@query("clip_seq_len", f"WITH {S.SEQS} SELECT row_idx, CAST(least({S.LEN}, 5000) AS INTEGER) AS seq_len FROM seqs WHERE seq IS NOT NULL")
+@query("clip_seq_len", f"WITH {S.SEQS} SELECT row_idx, CAST(CASE WHEN seq IS NOT NULL THEN least({S.LEN}, 5000) END AS INTEGER) AS seq_len FROM seqs")
 def clip_seq_len(spark, sf):
-    return imp.sequences(spark, sf).where("seq IS NOT NULL").select(
-        "row_idx", sequence.clip_length(sequence.seq_length()).alias("seq_len"))
+    df = imp.sequences(spark, sf).withColumn("n", sequence.seq_length())
+    return df.select("row_idx", sequence.clip_length(F.col("n")).alias("seq_len"))
 
 
 # ---------------------------------------------------------------- joins (C)
@@ -431,8 +433,9 @@ def coded(df: DataFrame) -> DataFrame:
     df = df.withColumns({"inventory_id_cat": F.col("inventory_id").cast("int"), "gender_cat": F.col("gender"),
                          "hour": F.col("hour").cast("int")})
     if "seq" in df.columns:
-        code = binning.digitize(sequence.seq_length(), [b for b, _ in d.SEQ_BUCKETS])
-        df = df.withColumn("seq_len_bucket_cat", code).drop("seq")
+        df = df.withColumn("_len", sequence.seq_length())
+        code = binning.digitize(F.col("_len"), [b for b, _ in d.SEQ_BUCKETS])
+        df = df.withColumn("seq_len_bucket_cat", code).drop("seq", "_len")
     return df
 
 
@@ -495,7 +498,7 @@ def cross_fit_delta_test(spark, sf):
 
 @query("seq_bucket_delta", _deltas(S.IMP_SEQ, [(["seq_len_bucket_cat"], "day7_seq_bucket_delta")], True, ", " + CODED_CTE))
 def seq_bucket_delta(spark, sf):
-    df = coded(train(spark, sf, True))
+    df = cut_lineage(coded(train(spark, sf, True)))
     return SliceDeltas(jobs.SEQ_BUCKET_DELTA).fit(df).transform_train(df).select("row_idx", r6("day7_seq_bucket_delta"))
 
 
@@ -586,7 +589,7 @@ def _history_sql(oof: bool, extra: list[str]) -> str:
 
 
 def _history(spark, sf, extra=(), new=False):
-    df = coded(train(spark, sf, True))
+    df = cut_lineage(coded(train(spark, sf, True)))
     binner, model = jobs.history_model(df, extra, HBINS, HALPHA, HMIN)
     rows = coded(test(spark, sf, True)) if new else df
     gridded = jobs.with_grid(rows, binner)
@@ -780,9 +783,11 @@ WHERE {'is_train' if is_train else 'NOT is_train'}"""
 
 
 def _recipe(spark, sf, new: bool) -> DataFrame:
-    tr, te = train(spark, sf, True), test(spark, sf, True)
-    model = Preprocessor().fit(tr, te)
-    out = model.transform_new(te, keep_key=True) if new else model.transform_train(tr, keep_key=True)
+    recipe = Preprocessor()
+    tr, te = (cut_lineage(recipe.prepare(x(spark, sf, True))) for x in (train, test))
+    model = recipe.fit(tr, te, prepared=True)
+    out = (model.transform_new(te, keep_key=True, prepared=True) if new
+           else model.transform_train(tr, keep_key=True, prepared=True))
     rounded = [c for c in out.columns if c.endswith(("_te", "_freq", "_sin", "_cos"))]
     changes = {c: F.round(c, 6) for c in rounded}
     changes |= {c: F.col(c).cast("double") for c in out.columns if "_X_" in c and not c.endswith("_te")}

@@ -10,14 +10,20 @@ from clickloom import defaults as d
 
 
 def seq_length(seq: str = "seq", null_as_zero: bool = False) -> Column:
-    """Commas plus one; a null sequence has a null length, or zero in the report variant."""
+    """Commas plus one; a null sequence has a null length, or zero in the report variant.
+
+    Bytes lost when the commas are removed: no list is built, however long the sequence.
+    """
     text = F.col(seq).cast("string")
-    length = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit(""))) + 1
+    length = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(","), F.lit(""))) + 1
     return F.coalesce(length, F.lit(0)) if null_as_zero else length
 
 
 def bucket(value: Column, cuts: Iterable[tuple[int, str]], top: str) -> Column:
-    """Label of the first bound above the value; null falls through to the top label."""
+    """Label of the first bound above the value; null falls through to the top label.
+
+    Pass a stored column: the chain evaluates its value once per bound.
+    """
     expr = None
     for bound, name in cuts:
         expr = F.when(value < bound, name) if expr is None else expr.when(value < bound, name)
@@ -48,8 +54,7 @@ def add_seq_features(df: DataFrame, seq: str = "seq") -> DataFrame:
         "seq_first": _digits(seq, r"^([0-9]+)"),
         "seq_last": _digits(seq, r"([0-9]+)\z"),
         "seq_available": F.lit(1),
-        "seq_len_bucket": seq_len_bucket(seq_length(seq)),
-    })
+    }).withColumn("seq_len_bucket", seq_len_bucket(F.col("seq_len")))
 
 
 def add_seq_crosses(df: DataFrame, crosses: Iterable[tuple[str, str]] = d.SEQ_CROSSES) -> DataFrame:
@@ -74,33 +79,31 @@ def add_seq_stats(df: DataFrame, seq: str = "seq", prefix: str = "seq_") -> Data
     text = F.trim(F.col(seq).cast("string"))
     text = F.when(text.endswith(","), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     clean = F.length(F.translate(text, "0123456789.,+-eE \t", "")) == 0
-    tokens = F.transform(F.split(text, ","), lambda t: F.trim(t).try_cast("double"))
-    usable = clean & ~F.exists(F.coalesce(tokens, F.array()), lambda x: x.isNull()) & (F.size(tokens) > 0)
-    df = df.withColumn("_tokens", F.when(F.coalesce(usable, F.lit(False)), tokens))
+    # a stored column per step, so that no step is evaluated twice; a token that is no number is null and
+    # makes the sum null
+    df = df.withColumn("_tokens", F.when(clean, F.split(text, ",").try_cast("array<double>")))
     x = F.col("_tokens")
-    n = F.size(x).cast("double")
     df = df.withColumn("_sum", F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v))
-    mean = F.col("_sum") / n
-    df = df.withColumn("_sq", F.aggregate(
-        F.transform(x, lambda v: (v - mean) * (v - mean)), F.lit(0.0), lambda acc, v: acc + v))
-    ordered = F.col("_ordered")
+    n = F.size(x).cast("double")
+    df = df.withColumns({"_mean": F.col("_sum") / n, "_ordered": F.sort_array(x)})
+    mean, ordered = F.col("_mean"), F.col("_ordered")
+    df = df.withColumn("_sq", F.aggregate(x, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean)))
     half = F.floor(F.size(ordered) / 2).cast("int")
     middle = F.when(F.size(ordered) % 2 == 1, F.element_at(ordered, half + 1)).otherwise(
         (F.element_at(ordered, half) + F.element_at(ordered, half + 1)) / 2)
-    df = df.withColumn("_ordered", F.array_sort(x))
     values = {
         "mean": mean,
         "std": F.sqrt(F.col("_sq") / n),
-        "min": F.array_min(x),
-        "max": F.array_max(x),
+        "min": F.element_at(ordered, 1),
+        "max": F.element_at(ordered, -1),
         "len": n,
         "sum": F.col("_sum"),
         "median": middle,
     }
     df = df.withColumns({
-        prefix + k: F.when(x.isNull(), F.lit(0.0)).otherwise(values[k]) for k in _STATS
+        prefix + k: F.when(F.col("_sum").isNull(), F.lit(0.0)).otherwise(values[k]) for k in _STATS
     })
-    return df.drop("_tokens", "_sum", "_sq", "_ordered")
+    return df.drop("_tokens", "_sum", "_mean", "_ordered", "_sq")
 
 
 def unique_count(seq: str = "seq") -> Column:

@@ -16,7 +16,7 @@ def digitize(value: Column, inner: Sequence[float]) -> Column:
     """Number of inner edges not above the value.
 
     NaN sorts last, so it gets the last bin; null stays null.  A chain of comparisons over a few dozen
-    literals compiles into the surrounding stage.
+    literals compiles into the surrounding stage.  Pass a stored column: it is read once per edge.
     """
     expr = F.lit(0)
     for edge in inner:

@@ -78,7 +78,8 @@ DIVERSITY_CUTS = [(0.1, "<0.1"), (0.2, "0.1-0.2"), (0.4, "0.2-0.4"), (0.6, "0.4-
 
 def diversity_rates(df: DataFrame, seq: str = "seq", label: str = d.LABEL) -> DataFrame:
     """M1: click rate per band of the share of different tokens; rows without a sequence are left out."""
-    named = df.where(F.col(seq).isNotNull()).withColumn("diversity_bucket", bucket(diversity_ratio(seq), DIVERSITY_CUTS, ">=0.6"))
+    rated = df.where(F.col(seq).isNotNull()).withColumn("_ratio", diversity_ratio(seq))
+    named = rated.withColumn("diversity_bucket", bucket(F.col("_ratio"), DIVERSITY_CUTS, ">=0.6"))
     return rates_by(named, ["diversity_bucket"], label)
 
 

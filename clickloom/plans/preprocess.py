@@ -51,12 +51,15 @@ def row_features(df: DataFrame, config: PreprocessConfig) -> DataFrame:
 class Preprocessor:
     config: PreprocessConfig = field(default_factory=PreprocessConfig)
 
-    def fit(self, train: DataFrame, test: DataFrame | None = None) -> "PreprocessModel":
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """The row-wise stages.  Written out once, the result spares the later scans the long sequence text."""
+        return row_features(df, self.config)
+
+    def fit(self, train: DataFrame, test: DataFrame | None = None, prepared: bool = False) -> "PreprocessModel":
         """Two scans of the training rows and one of the test rows; only small tables are kept."""
         c = self.config
-        ready = row_features(train, c)
-        rates = RateEncoder(c.frequency, c.target_pairs, c.label, folds=c.folds, seed=c.seed, row_key=c.row_key).fit(ready)
-        frames = [ready] if test is None else [ready, row_features(test, c)]
+        frames = [f if prepared else row_features(f, c) for f in (train, test) if f is not None]
+        rates = RateEncoder(c.frequency, c.target_pairs, c.label, folds=c.folds, seed=c.seed, row_key=c.row_key).fit(frames[0])
         codes = DictionaryEncoder(c.dictionary, c.row_key).fit(*frames)
         return PreprocessModel(c, rates, codes)
 
@@ -67,12 +70,14 @@ class PreprocessModel:
     rates: RateModel
     codes: DictionaryModel
 
-    def transform_train(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False) -> DataFrame:
-        ready = self.rates.transform_frequency(row_features(df, self.config))
+    def transform_train(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False,
+                        prepared: bool = False) -> DataFrame:
+        ready = self.rates.transform_frequency(df if prepared else row_features(df, self.config))
         return self._finish(self.rates.transform_train(ready), embeddings, keep_key)
 
-    def transform_new(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False) -> DataFrame:
-        ready = self.rates.transform_frequency(row_features(df, self.config))
+    def transform_new(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False,
+                      prepared: bool = False) -> DataFrame:
+        ready = self.rates.transform_frequency(df if prepared else row_features(df, self.config))
         return self._finish(self.rates.transform_new(ready), embeddings, keep_key)
 
     def _finish(self, df: DataFrame, embeddings: DataFrame | None, keep_key: bool) -> DataFrame:
