@@ -40,19 +40,21 @@ def seq_report_bucket(length: Column) -> Column:
     return bucket(length, d.SEQ_BUCKETS_REPORT, d.SEQ_BUCKET_REPORT_TOP)
 
 
-def _digits(seq: str, pattern: str) -> Column:
+def _digits(text: Column, pattern: str) -> Column:
     # regexp_extract gives '' for no match; \z is the true end of the text, unlike $
-    return F.nullif(F.regexp_extract(F.col(seq).cast("string"), pattern, 1), F.lit("")).try_cast("int")
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("int")
 
 
 def add_seq_features(df: DataFrame, seq: str = "seq") -> DataFrame:
     """length, first and last token, constant availability flag and length bucket."""
     if seq not in df.columns:
         return df
+    text = F.col(seq).cast("string")
     return df.withColumns({
         "seq_len": seq_length(seq),
-        "seq_first": _digits(seq, r"^([0-9]+)"),
-        "seq_last": _digits(seq, r"([0-9]+)\z"),
+        "seq_first": _digits(text, r"^([0-9]+)"),
+        # trailing digits hold no comma, so the part after the last comma is enough for the pattern
+        "seq_last": _digits(F.substring_index(text, ",", -1), r"([0-9]+)\z"),
         "seq_available": F.lit(1),
     }).withColumn("seq_len_bucket", seq_len_bucket(F.col("seq_len")))
 

@@ -57,13 +57,15 @@ class QuantileBinner:
         columns = list(self.columns)
         fills = {}
         if self.fill:
-            found = medians(df, columns, self.ranges)
-            fills = {c: found[c] for c in columns if found.get(c) is not None}
+            middle = medians(df, columns, self.ranges)
+            fills = {c: middle[c] for c in columns if middle.get(c) is not None}
             df = fill_values(df, fills)
         rows = order_statistics(df, {c: self.quantiles() for c in columns}, "nearest",
                                 ranges=self.ranges).collect()
-        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first()
-        edges = {c: inner_edges([r["value"] for r in rows if r["column"] == c], means[c]) for c in columns}
+        found = {c: [r["value"] for r in rows if r["column"] == c] for c in columns}
+        two = [c for c in columns if len(set(found[c])) == 2]
+        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in two]).first().asDict() if two else {}
+        edges = {c: inner_edges(found[c], means.get(c)) for c in columns}
         return BinModel(columns, fills, edges)
 
 

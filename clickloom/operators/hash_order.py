@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.keys import draw, draw_bucket
@@ -18,7 +18,8 @@ from clickloom.session import Measured, measure
 SLOT_ROWS = 100_000
 
 
-def _group_key(df: DataFrame, groups: list[str]) -> DataFrame:
+def grouped(df: DataFrame, groups: list[str]) -> DataFrame:
+    """Add the group as one text column ``_g``."""
     # nulls count as a value of their own, and joins need a key that is never null; the length in front
     # of each part keeps different combinations apart
     parts = []
@@ -34,36 +35,54 @@ def _slots(slot_rows: int):
 
 def group_sizes(df: DataFrame, groups: Iterable[str]) -> DataFrame:
     """Rows per group: ``_g``, ``_n``."""
-    return _group_key(df, list(groups)).groupBy("_g").agg(F.count("*").alias("_n"))
+    return grouped(df, list(groups)).groupBy("_g").agg(F.count("*").alias("_n"))
 
 
-def first_by_hash(df: DataFrame, quotas: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY,
-                  seed: int = d.SEED, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """The first ``_quota`` rows of every group in hash order, exactly; no group is sorted as a whole.
+def hash_limits(df: DataFrame, quotas: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY,
+                seed: int = d.SEED, slot_rows: int = SLOT_ROWS) -> Measured:
+    """For every group the place in hash order where its quota is used up: ``_last_draw, _last_key``.
 
-    ``quotas`` has ``_g, _n, _quota``.  Slots below the one in which the quota is reached are taken whole by
-    a filter; only that one slot per group is ranked.
+    ``quotas`` has ``_g, _n, _quota``.  The rows are counted per slot of the hash range, and only the slot in
+    which the quota is reached is ranked, so no group is sorted as a whole.  Only the key and the group
+    columns are read.  Groups that are taken whole, or not at all, need no limit and get nulls.
     """
-    groups = list(groups)
-    quotas = measure(quotas.withColumn("_slots", _slots(slot_rows)))
-    cols = df.columns
-    keyed = _group_key(df, groups).withColumn("_draw", draw(key, seed))
-    slotted = attach(keyed, quotas, ["_g"], "_n", key).where(F.col("_quota") > 0).withColumn(
+    quotas = measure(quotas.withColumns({
+        "_slots": _slots(slot_rows), "_cut": (F.col("_quota") > 0) & (F.col("_quota") < F.col("_n"))}))
+    narrow = grouped(df, list(groups)).select("_g", key, draw(key, seed).alias("_draw"))
+    slotted = attach(narrow, quotas, ["_g"], "_n", key).where("_cut").withColumn(
         "_slot", draw_bucket(F.col("_draw"), F.col("_slots")))
     cells = slotted.groupBy("_g", "_slot").agg(F.count("*").alias("_c"), F.first("_quota").alias("_quota"))
     upto = F.sum("_c").over(Window.partitionBy("_g").orderBy("_slot"))
-    edge = cells.withColumn("_upto", upto).where(
+    edges = measure(cells.withColumn("_upto", upto).where(
         (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_c") < F.col("_quota"))
     ).select("_g", F.col("_slot").alias("_edge"), (F.col("_quota") - F.col("_upto") + F.col("_c")).alias("_left"))
-    limits = measure(quotas.df.join(edge, "_g", "left"))
-    ready = attach(keyed, limits, ["_g"], "_n", key).where(F.col("_quota") > 0).withColumn(
-        "_slot", draw_bucket(F.col("_draw"), F.col("_slots")))
-    # a group whose quota exceeds its size has no edge and is taken whole
-    sure = ready.where(F.col("_edge").isNull() | (F.col("_slot") < F.col("_edge")))
-    w = Window.partitionBy("_g").orderBy("_draw", key)
-    last = ready.where(F.col("_slot") == F.col("_edge")).withColumn("_rank", F.row_number().over(w)).where(
-        F.col("_rank") <= F.col("_left"))
-    return sure.select(*cols).unionByName(last.select(*cols))
+        .join(quotas.df.select("_g", "_n"), "_g"))
+    inside = attach(slotted, edges, ["_g"], "_n", key).where(F.col("_slot") == F.col("_edge"))
+    order = Window.partitionBy("_g").orderBy("_draw", key)
+    last = inside.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == F.col("_left")).select(
+        "_g", F.col("_draw").alias("_last_draw"), F.col(key).alias("_last_key"))
+    return measure(quotas.df.select("_g", "_n", "_quota").join(last, "_g", "left"))
+
+
+def within_limits(df: DataFrame, limits: Measured, groups: Iterable[str], key: str = d.ROW_KEY,
+                  seed: int = d.SEED, always: Column | None = None) -> DataFrame:
+    """Rows up to the limit of their group, and the rows for which ``always`` holds: one scan and a filter."""
+    cols = df.columns
+    keyed = grouped(df, list(groups)).withColumn("_draw", draw(key, seed))
+    ready = attach(keyed, limits, ["_g"], "_n", key)
+    last = F.col("_last_draw")
+    chosen = (F.col("_quota") > 0) & (
+        last.isNull() | (F.col("_draw") < last) | ((F.col("_draw") == last) & (F.col(key) <= F.col("_last_key"))))
+    if always is not None:
+        chosen = F.coalesce(chosen, F.lit(False)) | always
+    return ready.where(chosen).select(*cols)
+
+
+def first_by_hash(df: DataFrame, quotas: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY,
+                  seed: int = d.SEED, slot_rows: int = SLOT_ROWS) -> DataFrame:
+    """The first ``_quota`` rows of every group in hash order, exactly."""
+    groups = list(groups)
+    return within_limits(df, hash_limits(df, quotas, groups, key, seed, slot_rows), groups, key, seed)
 
 
 def hash_ordinal(df: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY, seed: int = d.SEED,
@@ -72,7 +91,7 @@ def hash_ordinal(df: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY, see
     groups = list(groups)
     cols = df.columns
     sizes = measure(group_sizes(df, groups).withColumn("_slots", _slots(slot_rows)))
-    keyed = _group_key(df, groups).withColumn("_draw", draw(key, seed))
+    keyed = grouped(df, groups).withColumn("_draw", draw(key, seed))
     slotted = attach(keyed, sizes, ["_g"], "_n", key).withColumn(
         "_slot", draw_bucket(F.col("_draw"), F.col("_slots")))
     cells = slotted.groupBy("_g", "_slot").agg(F.count("*").alias("_c"))

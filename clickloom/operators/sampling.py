@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom import defaults as d
 from clickloom.functions.calendar import in_slice
 from clickloom.functions.keys import hash_split
-from clickloom.operators.hash_order import SLOT_ROWS, first_by_hash, group_sizes, hash_ordinal
+from clickloom.operators.hash_order import (
+    SLOT_ROWS, first_by_hash, group_sizes, grouped, hash_limits, hash_ordinal, within_limits,
+)
 from clickloom.operators.order_stats import order_statistics
+from clickloom.session import measure
 
 
 def strata_columns(df: DataFrame, candidates: Iterable[str] = d.STRATA) -> list[str]:
@@ -26,47 +29,57 @@ def class_counts(df: DataFrame, label: str = d.LABEL) -> tuple[int, int]:
     return row["p"], row["n"]
 
 
-def _negative_target(df: DataFrame, ratio: float, label: str) -> tuple[int, int, int]:
-    pos, neg = class_counts(df, label)
+def _target(pos: int, neg: int, ratio: float) -> int:
     if pos == 0 or neg == 0:
         raise ValueError("both classes are needed")
-    return pos, neg, min(int(pos * ratio), neg)
+    return min(int(pos * ratio), neg)
+
 
+def _strata(df: DataFrame, strata: list[str], parity: bool) -> tuple[DataFrame, list[str]]:
+    if not parity:
+        return df, strata
+    joined = F.concat_ws("|", *[F.col(c).cast("string") for c in strata])
+    hole = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(True)) for c in strata], F.lit(False))
+    return df.withColumn("_stratum", F.when(~hole, joined)), ["_stratum"]
 
-def sample_negatives(df: DataFrame, strata: Iterable[str], ratio: float = d.NEGATIVE_RATIO,
-                     label: str = d.LABEL, key: str = d.ROW_KEY, seed: int = d.SEED, parity: bool = False,
-                     slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """Per stratum ``max(1, round(n * fraction))`` negatives without replacement, halves to even.
+
+def stratified_downsample(df: DataFrame, strata: Iterable[str], ratio: float = d.NEGATIVE_RATIO,
+                          label: str = d.LABEL, key: str = d.ROW_KEY, seed: int = d.SEED, parity: bool = False,
+                          slot_rows: int = SLOT_ROWS, keep_positives: bool = True) -> DataFrame:
+    """All positives and, per stratum, ``max(1, round(n * fraction))`` negatives, halves to even.
 
     Nulls form strata of their own; ``parity=True`` puts every row with any null component in one stratum.
+    The quotas and limits come from scans of the strata, label and key columns; the rows themselves are
+    read once, by a filter.
     """
-    strata = list(strata)
-    _, neg, target = _negative_target(df, ratio, label)
-    negatives = df.where(F.col(label) == 0)
-    groups = strata
-    if parity:
-        joined = F.concat_ws("|", *[F.col(c).cast("string") for c in strata])
-        whole = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(True)) for c in strata], F.lit(False))
-        negatives = negatives.withColumn("_stratum", F.when(~whole, joined))
-        groups = ["_stratum"]
-    sizes = group_sizes(negatives, groups)
+    frame, groups = _strata(df, list(strata), parity)
+    negative = F.col(label) == 0
+    by_class = measure(grouped(frame, groups).groupBy("_g").agg(
+        F.count_if(negative).alias("_n"), F.count_if(F.col(label) == 1).alias("_p")))
+    neg, pos = by_class.df.agg(F.sum("_n"), F.sum("_p")).first()
+    target = _target(pos or 0, neg or 0, ratio)
     share = F.bround(F.col("_n") * F.lit(target / neg), 0).cast("bigint")
-    quotas = sizes.withColumn("_quota", F.greatest(F.lit(1), F.least(F.col("_n"), share)))
-    return first_by_hash(negatives, quotas, groups, key, seed, slot_rows).select(*df.columns)
+    quotas = by_class.df.where("_n > 0").select(
+        "_g", "_n", F.greatest(F.lit(1), F.least(F.col("_n"), share)).alias("_quota"))
+    limits = hash_limits(frame.where(negative), quotas, groups, key, seed, slot_rows)
+    if keep_positives:
+        rows = frame.where(F.col(label).isin(0, 1))
+        chosen = within_limits(rows, limits, groups, key, seed, always=F.col(label) == 1)
+    else:
+        chosen = within_limits(frame.where(negative), limits, groups, key, seed)
+    return chosen.select(*df.columns)
 
 
-def stratified_downsample(df: DataFrame, strata: Iterable[str], ratio: float = d.NEGATIVE_RATIO,
-                          label: str = d.LABEL, key: str = d.ROW_KEY, seed: int = d.SEED,
-                          slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """All positives and the sampled negatives."""
-    sampled = sample_negatives(df, strata, ratio, label, key, seed, slot_rows=slot_rows)
-    return df.where(F.col(label) == 1).unionByName(sampled)
+def sample_negatives(df: DataFrame, strata: Iterable[str], ratio: float = d.NEGATIVE_RATIO, **options) -> DataFrame:
+    """The sampled negatives alone."""
+    return stratified_downsample(df, strata, ratio, keep_positives=False, **options)
 
 
 def downsample_stats(df: DataFrame, sampled: DataFrame, ratio: float = d.NEGATIVE_RATIO,
                      label: str = d.LABEL) -> DataFrame:
     """One row describing a downsample of ``df``."""
-    pos, neg, target = _negative_target(df, ratio, label)
+    pos, neg = class_counts(df, label)
+    target = _target(pos, neg, ratio)
     return sampled.agg(F.count_if(F.col(label) == 0).alias("actual_neg")).select(
         F.lit(pos).cast("bigint").alias("total_pos"), F.lit(neg).cast("bigint").alias("total_neg"),
         F.lit(target).cast("bigint").alias("target_neg"), "actual_neg",
@@ -83,9 +96,12 @@ def sample_rows(df: DataFrame, n: int, key: str = d.ROW_KEY, seed: int = d.SEED,
 def random_downsample(df: DataFrame, ratio: float = 2.0, label: str = d.LABEL, key: str = d.ROW_KEY,
                       seed: int = d.SEED, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """All positives and exactly ``ratio`` times as many negatives, unstratified."""
-    _, _, target = _negative_target(df, ratio, label)
-    negatives = sample_rows(df.where(F.col(label) == 0), target, key, seed, slot_rows)
-    return df.where(F.col(label) == 1).unionByName(negatives)
+    pos, neg = class_counts(df, label)
+    target = _target(pos, neg, ratio)
+    negatives = df.where(F.col(label) == 0)
+    quotas = group_sizes(negatives, []).withColumn("_quota", F.lit(target).cast("bigint"))
+    limits = hash_limits(negatives, quotas, [], key, seed, slot_rows)
+    return within_limits(df.where(F.col(label).isin(0, 1)), limits, [], key, seed, always=F.col(label) == 1)
 
 
 def first_by_key(df: DataFrame, n: int, key: str = d.ROW_KEY) -> DataFrame:

@@ -17,6 +17,7 @@ from clickloom.functions.columns import drop_columns, numeric_columns
 from clickloom.functions.keys import draw, draw_bucket, hash_fold, hash_split
 from clickloom.operators.calibrate import probability
 from clickloom.operators.metrics import metric_bundle
+from clickloom.session import use_checkpoint_dir
 from clickloom.sources.files import read_text, write_text
 
 
@@ -148,6 +149,7 @@ def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int =
 
     The assembled features are persisted once and shared by all folds; each fit runs on the executors.
     """
+    use_checkpoint_dir(df.sparkSession)  # long boosting runs cut their lineage there
     exclude = (label, key, d.TEST_ID, *([weight] if weight else []), *([fold] if fold else []))
     assembler = FeatureAssembler(exclude).fit(df, columns)
     if fold is None:
