@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.missing import fill_values
-from clickloom.operators.order_stats import medians, order_statistics
+from clickloom.operators.order_stats import medians, order_statistics, value_counts
 
 
 def digitize(value: Column, inner: Sequence[float]) -> Column:
@@ -55,14 +55,16 @@ class QuantileBinner:
 
     def fit(self, df: DataFrame) -> "BinModel":
         columns = list(self.columns)
+        rows, totals = value_counts(df, columns)
         fills = {}
         if self.fill:
-            middle = medians(df, columns, self.ranges)
+            middle = medians(df, columns, self.ranges, totals)
             fills = {c: middle[c] for c in columns if middle.get(c) is not None}
             df = fill_values(df, fills)
-        rows = order_statistics(df, {c: self.quantiles() for c in columns}, "nearest",
-                                ranges=self.ranges).collect()
-        found = {c: [r["value"] for r in rows if r["column"] == c] for c in columns}
+            totals = {c: rows if c in fills else 0 for c in columns}
+        values = order_statistics(df, {c: self.quantiles() for c in columns}, "nearest",
+                                  ranges=self.ranges, totals=totals).collect()
+        found = {c: [r["value"] for r in values if r["column"] == c] for c in columns}
         two = [c for c in columns if len(set(found[c])) == 2]
         means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in two]).first().asDict() if two else {}
         edges = {c: inner_edges(found[c], means.get(c)) for c in columns}
