@@ -74,8 +74,9 @@ def test_skewed_shuffle_join_is_split_at_run_time(spark):
     """Beyond the broadcast limit the plain left join is left to adaptive execution, which splits hot keys."""
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor"]
-    values = ["-1", "-1", "20000", "20000", "2"]
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.shuffle.partitions"]
+    values = ["-1", "-1", "20000", "20000", "2", "8"]
+    before = [spark.conf.get(k, None) for k in keys]
     for k, v in zip(keys, values):
         spark.conf.set(k, v)
     try:
@@ -88,5 +89,5 @@ def test_skewed_shuffle_join_is_split_at_run_time(spark):
         done.collect()
         assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
     finally:
-        for k in keys:
-            spark.conf.unset(k)
+        for k, v in zip(keys, before):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
