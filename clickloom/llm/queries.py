@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, quality_rules, token_counts
+from clickloom.llm import chat_format, decontaminate, language_id, quality_rules, secret_scan, token_counts
 from clickloom.llm.registry import query
 
 
@@ -38,3 +38,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return chat_format.digests(chat_format.format_turns(rows, vocabulary), vocabulary)
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language_id.train(language_id.sample(docs))
+    marked = docs.select("doc_id", "text", F.coalesce(language_id.fold_of() == 0, F.lit(False)).alias("held_out"))
+    return language_id.identify(marked, net, carry=["doc_id", "held_out"])
