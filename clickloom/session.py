@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -60,6 +61,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables in a folder of their own below the shared checkpoint folder.
+
+    Written tables survive lost executors and carry true sizes.  ``close`` deletes them; tables that a lazy result
+    still reads stay until the driver ends, when every open folder is deleted.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{use_checkpoint_dir(spark)}/clickloom-{uuid.uuid4().hex}"
+        self._count = 0
+        atexit.register(self._at_exit)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write a table and read it back."""
+        path = f"{self.path}/{self._count}"
+        self._count += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        atexit.unregister(self._at_exit)
+        if self._count:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _at_exit(self) -> None:
+        try:
+            self.close()
+        except Exception:  # the session may have ended before
+            pass
+
+
 @dataclass
 class Measured:
     """A persisted table whose row count is known, so that join strategies rest on a measured size.
