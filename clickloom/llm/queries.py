@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, language_id, quality_rules, secret_scan, sentence_pieces, token_counts
+from clickloom.llm import chat_format, decontaminate, language_id, line_dedup, quality_rules, secret_scan, sentence_pieces, token_counts
 from clickloom.llm.registry import query
 
 
@@ -18,6 +18,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
