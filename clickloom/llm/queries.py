@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, quality_rules, secret_scan, sentence_pieces, token_counts
+from clickloom.llm import chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, quality_rules, secret_scan, sentence_pieces, token_counts
 from clickloom.llm.registry import query
 
 
@@ -55,6 +55,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op6_kneser_ney")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_secret_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
