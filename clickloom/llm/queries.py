@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -72,3 +73,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = language_id.train(language_id.sample(docs))
     marked = docs.select("doc_id", "text", F.coalesce(language_id.fold_of() == 0, F.lit(False)).alias("held_out"))
     return language_id.identify(marked, net, carry=["doc_id", "held_out"])
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
