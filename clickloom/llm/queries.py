@@ -6,7 +6,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, quality_rules, secret_scan, sentence_pieces, token_counts
+from clickloom.llm import (
+    chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, oracles, quality_rules, secret_scan,
+    sentence_pieces, token_counts,
+)
 from clickloom.llm.registry import query
 
 
@@ -19,12 +22,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-@query("op2_line_dedup")
+@query("op2_line_dedup", oracles.LINE_DEDUP)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("runs")
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", oracles.QUALITY_RULES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -34,13 +37,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op9_decontaminate")
+@query("op9_decontaminate", oracles.DECONTAMINATE)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "hits")
 
 
-@query("op10_chat_format")
+@query("op10_chat_format", oracles.CHAT_FORMAT)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -48,12 +51,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    return chat_format.digests(chat_format.format_turns(rows, vocabulary), vocabulary)
+    return chat_format.digests(chat_format.format_turns(rows, vocabulary), vocabulary).drop(
+        "n_tokens", "n_loss_tokens")
 
 
-@query("op5_jaccard_join")
+@query("op5_jaccard_join", oracles.JACCARD_JOIN)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 @query("op6_kneser_ney")
