@@ -113,7 +113,7 @@ def measure(texts: list) -> dict[str, np.ndarray]:
     for n in NGRAM_LIMITS:
         alive = alive[alive + n <= ends[doc[alive]]] if len(alive) else alive
         if upto == 0:
-            for k in range(n):
+            for k in range(n if total >= n else 0):
                 sums[: total - k] = sums[: total - k] * BASE + mixed[k:]
         else:
             for k in range(upto, n):
