@@ -6,6 +6,7 @@ feature pair, so their size depends on the number of columns only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,88 +18,103 @@ from clickloom import defaults as d
 from clickloom.functions.columns import feature_group, trailing_index
 from clickloom.session import cut_lineage
 
-# Up to this many pairs are built-in aggregates.  Beyond it their generated code outgrows the JIT compiler
-# (66 pairs: 4 times slower), and matrix products over Arrow batches take over.
-EXPRESSION_PAIRS = 8
-SHIFT_ROWS = 1000
-
-
 def _within_one(r: Column) -> Column:
     # least and greatest skip nulls, and an undefined correlation has to stay null
     return F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
 
 
-def _by_expressions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    structs, aggregates = [], []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        aggregates += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"a{i}"), F.stddev_pop(y).alias(f"b{i}"),
-                       # merged partial deviations of a constant need not be exactly zero
-                       ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias(f"v{i}")]
-        value = F.when(F.col(f"v{i}"), F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}")))
-        structs.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                                _within_one(value).alias("correlation")))
-    return df.agg(*aggregates).select(F.inline(F.array(*structs)))
+def _batch_moments(values: np.ndarray) -> np.ndarray:
+    """n, means, squared deviations and co-deviations of all pairs in a batch, over the rows where both are present.
 
+    Six matrices; entry (i, j) of the second and fourth is about column i in the rows of the pair.  The columns are
+    shifted by their medians before they are squared, so offsets cost no digits and constants leave exact zeros.
+    """
+    there = ~np.isnan(values)
+    mask = there.astype(np.float64)
+    with np.errstate(all="ignore"):
+        shift = np.array([np.median(v[ok]) if ok.any() else 0.0 for v, ok in zip(values.T, there.T)])
+        x = np.where(there, values - shift, 0.0)
+        n, sx = mask.T @ mask, x.T @ mask
+        safe = np.maximum(n, 1)
+        mean = sx / safe
+        square, co = (x * x).T @ mask, x.T @ x
+        return np.stack((n, mean + shift[:, None], mean.T + shift[None], np.maximum(square - sx * mean, 0.0),
+                         np.maximum(square - sx * mean, 0.0).T, co - sx * mean.T))
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The moments of two sets of rows together, by the pairwise update of means and deviations."""
+    n = a[0] + b[0]
+    with np.errstate(all="ignore"):
+        share = np.where(n > 0, b[0] / np.maximum(n, 1), 0.0)
+        weight = a[0] * share
+        # the mean of an empty side is no value
+        dx, dy = (np.where((a[0] > 0) & (b[0] > 0), b[k] - a[k], 0.0) for k in (1, 2))
+        mean = [np.where(a[0] > 0, a[k] + d * share, b[k]) for k, d in ((1, dx), (2, dy))]
+        return np.stack((n, *mean, a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight,
+                         a[5] + b[5] + dx * dy * weight))
+
+
+def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row ``m``: the merged moments of all pairs of columns.
+
+    Every task adds up its batches to one row of six square matrices; these are merged in two levels, so no task
+    reads more than about the square root of their number.
+    """
+    p = len(columns)
+    numbers = df.select([F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
-def _by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sums of products as matrix products: each task adds up its batches and emits one row per pair.
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, p, p))
+        for batch in batches:
+            if len(batch):
+                total = _merged(total, _batch_moments(batch.to_numpy(dtype=np.float64, na_value=np.nan)))
+        yield pd.DataFrame({"m": [total.tobytes()]})
 
-    The columns are shifted by the mean of a few rows before they are squared, which keeps the sums
-    accurate for columns far from zero; the correlation does not depend on the shift.
-    """
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, p, p))
+        for batch in batches:
+            for raw in batch["m"]:
+                total = _merged(total, np.frombuffer(raw).reshape(6, p, p))
+        yield pd.DataFrame({"m": [total.tobytes()]})
+
+    parts = numbers.mapInPandas(scan, "m binary")
+    tasks = parts.rdd.getNumPartitions()
+    if tasks > 64:
+        parts = parts.repartition(math.isqrt(tasks)).mapInPandas(add, "m binary")
+    return parts.coalesce(1).mapInPandas(add, "m binary")
+
+
+def _by_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
-    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    head = numbers.limit(SHIFT_ROWS).agg(*[F.avg(c) for c in columns]).first()
-    shift = np.array([v if v is not None and np.isfinite(v) else 0.0 for v in head])
     p = len(columns)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = batch.to_numpy(dtype=np.float64, na_value=np.nan) - shift
-            there = ~np.isnan(values)
-            mask = there.astype(np.float64)
-            values[~there] = 0.0
-            n += mask.T @ mask
-            sx += values.T @ mask
-            sxx += (values * values).T @ mask
-            sxy += values.T @ values
-        i, j = np.triu_indices(p, k=1)
-        yield pd.DataFrame({"i": i, "j": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
-                            "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j]})
-
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    partials = numbers.mapInPandas(partial, "i int, j int, " + ", ".join(f"{c} double" for c in names))
-    sums = partials.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
-    c = {name: F.col(name) for name in names}
-    vx, vy = c["sxx"] - c["sx"] * c["sx"] / c["n"], c["syy"] - c["sy"] * c["sy"] / c["n"]
-    # a constant column leaves nothing but rounding
-    varied = (c["n"] > 1) & (vx > c["sxx"] * 1e-14) & (vy > c["syy"] * 1e-14)
-    value = F.when(varied, (c["sxy"] - c["sx"] * c["sy"] / c["n"]) / F.sqrt(vx * vy))
-    label = F.array(*[F.lit(name) for name in columns])
-    return sums.select(label[F.col("i")].alias("feature1"), label[F.col("j")].alias("feature2"),
-                       _within_one(value).alias("correlation"))
-
-
-def correlation_pairs(df: DataFrame, columns: Sequence[str], expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
+            for raw in batch["m"]:
+                n, _, _, vx, vy, co = np.frombuffer(raw).reshape(6, p, p)
+                i, j = np.triu_indices(p, k=1)
+                with np.errstate(all="ignore"):
+                    r = np.where((n > 1) & (vx > 0) & (vy > 0), co / np.sqrt(vx) / np.sqrt(vy), np.nan)[i, j]
+                yield pd.DataFrame({"feature1": [columns[k] for k in i], "feature2": [columns[k] for k in j],
+                                    "correlation": pd.array([None if np.isnan(v) else v for v in r], "Float64")})
+
+    rows = _moments(df, columns).mapInPandas(pairs, "feature1 string, feature2 string, correlation double")
+    return rows.withColumn("correlation", _within_one(F.col("correlation")))
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, over the rows where both are present; one scan.
 
-    Rows ``(feature1, feature2, correlation)`` for the upper triangle in list order; null when undefined.
+    Rows ``(feature1, feature2, correlation)`` for the upper triangle in list order.  Nulls and NaN are missing; the
+    correlation is null when a column is constant in the rows of the pair, infinite, or present in fewer than two.
     """
-    columns = list(columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    return _by_expressions(df, pairs) if len(pairs) <= expression_pairs else _by_products(df, columns)
+    return _by_moments(df, columns)
 
 
-def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL,
-                        expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
+def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL) -> DataFrame:
     """K6: ``(feature, correlation, abs_correlation)`` with the target."""
-    columns = [c for c in columns if c != target]
-    if len(columns) <= expression_pairs:
-        return _with_target(_by_expressions(df, [(c, target) for c in columns]), target)
-    return _with_target(_by_products(df, [*columns, target]), target)
+    return _with_target(_by_moments(df, [*[c for c in columns if c != target], target]), target)
 
 
 def _with_target(pairs: DataFrame, target: str) -> DataFrame:
