@@ -12,8 +12,7 @@ from clickloom.functions.keys import hash_split
 from clickloom.operators.hash_order import (
     SLOT_ROWS, first_by_hash, group_sizes, grouped, hash_limits, hash_ordinal, within_limits,
 )
-from clickloom.operators.order_stats import order_statistics
-from clickloom.session import measure
+from clickloom.session import ONE_TASK_ROWS, measure
 
 
 def strata_columns(df: DataFrame, candidates: Iterable[str] = d.STRATA) -> list[str]:
@@ -107,17 +106,35 @@ def random_downsample(df: DataFrame, ratio: float = 2.0, label: str = d.LABEL, k
 def first_by_key(df: DataFrame, n: int, key: str = d.ROW_KEY) -> DataFrame:
     """A4: the ``n`` rows with the smallest key, as a filter on the exact n-th key.
 
-    The threshold is found without sorting the rows, and the filter reaches the Parquet scan, so a large
-    ``n`` never passes through one task.  The key must be unique and below 2**53.
+    The key is a unique integer of any size; rows without a key come after all others.  The keys are counted between
+    approximate quantiles, in their own type, until the range that holds the n-th one can be sorted by one task.
+    The filter reaches the Parquet scan, so a large ``n`` never passes through one task.
     """
-    rows = df.count()
-    if n >= rows:
-        return df
+    if df.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"the row key {key!r} is not an integer")
     if n <= 0:
         return df.where(F.lit(False))
-    q = (n - 1) / (rows - 1) if rows > 1 else 0.0
-    threshold = order_statistics(df, {key: [q]}, "nearest").first()["value"]
-    return df.where(F.col(key) <= F.lit(int(threshold)))
+    if n >= df.count():
+        return df
+    keys = df.select(F.col(key).cast("bigint").alias("k")).where("k is not null")
+    inside = keys.count()
+    if n >= inside:  # some of the rows without a key, in no order
+        return df.where(F.col(key).isNotNull()).unionByName(df.where(F.col(key).isNull()).limit(n - inside))
+    left = n
+    while inside > ONE_TASK_ROWS:
+        probs = [i / 64 for i in range(1, 64)]
+        cuts = sorted(set(keys.agg(F.percentile_approx("k", probs, 10_000)).first()[0]))
+        upto = keys.agg(*[F.count_if(F.col("k") <= c) for c in cuts]).first()
+        above = next((i for i, c in enumerate(upto) if c >= left), len(cuts))
+        if above < len(cuts):
+            keys = keys.where(F.col("k") <= F.lit(cuts[above]))
+        if above:
+            keys = keys.where(F.col("k") > F.lit(cuts[above - 1]))
+        below = upto[above - 1] if above else 0
+        inside = (upto[above] if above < len(cuts) else inside) - below
+        left -= below
+    last = keys.orderBy("k").offset(left - 1).first()[0]
+    return df.where(F.col(key) <= F.lit(last))
 
 
 def stratified_folds(df: DataFrame, folds: int = d.FOLDS, label: str = d.LABEL, key: str = d.ROW_KEY,
