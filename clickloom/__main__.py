@@ -6,9 +6,11 @@ import argparse
 import inspect
 import json
 import sys
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
+from clickloom.operators.train import BoostParams
 from clickloom.plans import jobs
 from clickloom.sources.tables import check_data, data_paths
 
@@ -35,7 +37,12 @@ def parser() -> argparse.ArgumentParser:
         options = sub.add_parser(name, help=(job.__doc__ or "").splitlines()[0])
         for p in list(inspect.signature(job).parameters.values())[1:]:
             kind = str(p.annotation)
-            if kind.startswith(("BoostParams", "PreprocessConfig")):
+            if kind.startswith("PreprocessConfig"):
+                continue
+            if kind.startswith("BoostParams"):
+                boost = options.add_argument_group("boosting", "options that are left out keep the job's defaults")
+                for f in fields(BoostParams):
+                    boost.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), dest=f"{p.name}.{f.name}")
                 continue
             flag = "--" + p.name.replace("_", "-")
             convert = int if kind.startswith("int") else float if kind.startswith("float") else str
@@ -48,6 +55,16 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def job_arguments(args: dict) -> dict:
+    """Options as arguments of the job; those of the boosting group become one :class:`BoostParams`."""
+    plain = {k: v for k, v in args.items() if "." not in k}
+    boost = {k: v for k, v in args.items() if "." in k and v is not None}
+    for k, v in boost.items():
+        group, name = k.split(".")
+        plain.setdefault(group, {})[name] = v
+    return {k: BoostParams(**v) if isinstance(v, dict) else v for k, v in plain.items()}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = vars(parser().parse_args(argv))
     job = args.pop("job")
@@ -55,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     if job == "check-data":
         check_data(spark, data_paths()).show(truncate=False)
         return
-    result = JOBS[job](spark, **args)
+    result = JOBS[job](spark, **job_arguments(args))
     if isinstance(result, dict):
         print(json.dumps(result, indent=2, default=str))
     elif result is not None:

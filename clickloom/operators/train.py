@@ -92,19 +92,53 @@ class BoostParams:
     bagging_fraction: float = 0.8   # subsamplingRate
     min_gain_to_split: float = 0.0  # minInfoGain
     rounds: int = 300               # maxIter
-    stop_tolerance: float = 0.01    # validationTol, early stopping on the held-out fold
+    patience: int = 50              # rounds without a better held-out loss before the rest is given up
     max_bins: int = 64
     seed: int = d.SEED
 
-    def estimator(self, label: str, weight: str | None, validation: str | None) -> GBTClassifier:
+    def estimator(self, label: str, weight: str | None) -> GBTClassifier:
         gbt = GBTClassifier(
             featuresCol="features", labelCol=label, stepSize=self.learning_rate, maxDepth=self.max_depth,
             minInstancesPerNode=self.min_data_in_leaf, featureSubsetStrategy=str(self.feature_fraction),
             subsamplingRate=self.bagging_fraction, minInfoGain=self.min_gain_to_split, maxIter=self.rounds,
-            maxBins=self.max_bins, seed=self.seed, validationTol=self.stop_tolerance)
-        if weight:
-            gbt = gbt.setWeightCol(weight)
-        return gbt.setValidationIndicatorCol(validation) if validation else gbt
+            maxBins=self.max_bins, seed=self.seed)
+        return gbt.setWeightCol(weight) if weight else gbt
+
+    def fit(self, data: DataFrame, held: str, label: str, weight: str | None = None) -> GBTClassificationModel:
+        """Boost on the rows that are not held out; keep the trees up to the best held-out loss."""
+        model = self.estimator(label, weight).fit(data.where(~F.col(held)))
+        losses = model.evaluateEachIteration(data.where(held))
+        return first_trees(model, best_round(losses, self.patience))
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The number of rounds with the smallest loss, looking ``patience`` rounds beyond the best so far."""
+    if not any(map(math.isfinite, losses)):
+        return len(losses)  # nothing is held out
+    best, at = math.inf, 0
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            break
+    return at + 1
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model cut to its first ``n`` trees."""
+    if n >= model.getNumTrees:
+        return model
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, n), gateway.new_array(gateway.jvm.double, n)
+    every = model._java_obj.trees()
+    for i in range(n):
+        trees[i], weights[i] = every[i], model.treeWeights[i]
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        model.uid, trees, weights, model.numFeatures, model.numClasses)
+    out = GBTClassificationModel(model._java_obj.copyValues(cut, gateway.jvm.org.apache.spark.ml.param.ParamMap.empty()))
+    out._transfer_params_from_java()
+    return out
 
 
 @dataclass
@@ -112,6 +146,12 @@ class FoldModels:
     models: list[GBTClassificationModel]
     assembler: AssemblerModel
     oof: DataFrame | None = None
+    kept: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the persisted features; the models stay."""
+        if self.kept is not None:
+            self.kept.unpersist()
 
     def score(self, df: DataFrame, keep: Iterable[str], name: str = "raw_pred") -> DataFrame:
         """Mean probability of the fold models, in one pass over the rows."""
@@ -145,9 +185,11 @@ def load_models(spark: SparkSession, path: str, folds: int = d.FOLDS) -> FoldMod
 def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int = d.FOLDS, label: str = d.LABEL,
                 key: str = d.ROW_KEY, weight: str | None = None, fold: str | None = None,
                 columns: Sequence[str] | None = None, seed: int = d.SEED) -> FoldModels:
-    """One boosted model per held-out fold, early-stopped on it; ``oof`` holds the held-out scores.
+    """One boosted model per held-out fold, cut at its best round there; ``oof`` holds the held-out scores.
 
-    The assembled features are persisted once and shared by all folds; each fit runs on the executors.
+    ``fold`` names a column with fold numbers, such as :func:`stratified_folds` adds; without it the folds are drawn by
+    a hash.  The assembled features are persisted once, shared by all folds and released with :meth:`FoldModels.release`;
+    each fit runs on the executors.
     """
     use_checkpoint_dir(df.sparkSession)  # long boosting runs cut their lineage there
     exclude = (label, key, d.TEST_ID, *([weight] if weight else []), *([fold] if fold else []))
@@ -159,8 +201,7 @@ def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int =
     data = assembler.transform(df, keep).withColumn(label, F.col(label).cast("double")).persist()
     models, parts = [], []
     for k in range(folds):
-        marked = data.withColumn("_held", F.col(fold) == k)
-        model = params.estimator(label, weight, "_held").fit(marked)
+        model = params.fit(data.withColumn("_held", F.col(fold) == k), "_held", label, weight)
         models.append(model)
         held = model.transform(data.where(F.col(fold) == k))
         parts.append(held.select(key, F.col(label).cast("int").alias(label), F.col(fold).alias("fold"),
@@ -168,7 +209,7 @@ def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int =
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
-    return FoldModels(models, assembler, oof)
+    return FoldModels(models, assembler, oof, data)
 
 
 def train_holdout(df: DataFrame, params: BoostParams = BoostParams(learning_rate=0.1, max_depth=5, rounds=1000),
@@ -177,11 +218,11 @@ def train_holdout(df: DataFrame, params: BoostParams = BoostParams(learning_rate
     """One model with a random held-out share; returns it with the scores of that share."""
     assembler = FeatureAssembler((label, key, d.TEST_ID)).fit(df)
     keyed = df.withColumn("_held", hash_split(key, share, seed))
-    data = assembler.transform(keyed, [key, label, "_held"]).withColumn(label, F.col(label).cast("double"))
-    model = params.estimator(label, None, "_held").fit(data)
+    data = assembler.transform(keyed, [key, label, "_held"]).withColumn(label, F.col(label).cast("double")).persist()
+    model = params.fit(data, "_held", label)
     held = model.transform(data.where("_held"))
     scores = held.select(key, F.col(label).cast("int").alias(label), probability().alias("raw_pred"))
-    return FoldModels([model], assembler), scores
+    return FoldModels([model], assembler, kept=data), scores
 
 
 def oof_metrics(oof: DataFrame, label: str = d.LABEL) -> DataFrame:
@@ -250,6 +291,7 @@ SEARCH_SPACE: Mapping[str, tuple] = {
     "feature_fraction": ("float", 0.6, 1.0),
     "bagging_fraction": ("float", 0.6, 1.0),
     "min_gain_to_split": ("float", 0.0, 1.0),
+    "max_bins": ("int", 32, 128),
 }
 
 
@@ -303,6 +345,7 @@ class Search:
             params = trial_params(self.base, trial, self.seed, self.space)
             fitted = train_folds(df, params, self.folds, seed=self.seed, **train_options)
             row = metric_bundle(fitted.oof, train_options.get("label", d.LABEL), "raw_pred").first()
+            fitted.release()
             numbers = {k: float(v) for k, v in asdict(params).items()}
             spark.createDataFrame(
                 [(self.study, trial, numbers, row["ap"], row["logloss"], row["wll"], row["score"])], self._SCHEMA,

@@ -15,7 +15,9 @@ from clickloom.operators.binning import BinModel, QuantileBinner, grid_columns
 from clickloom.operators.calibrate import CalibrationModel, Calibrator
 from clickloom.operators.crossfit import SliceDelta, SliceDeltaModel, SliceDeltas
 from clickloom.operators.metrics import by_stage, metric_bundle
-from clickloom.operators.sampling import downsample_stats, first_by_key, strata_columns, stratified_downsample
+from clickloom.operators.sampling import (
+    downsample_stats, first_by_key, sample_rows, strata_columns, stratified_downsample, stratified_folds,
+)
 from clickloom.operators.train import (
     BoostParams, FoldModels, Search, importance, load_frames, load_models, oof_metrics, submission, train_folds,
 )
@@ -36,12 +38,15 @@ def _ints(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def preprocess(spark: SparkSession, train_path: str, test_path: str, output: str, embeddings_dir: str | None = None,
                sample_size: int | None = None, config: PreprocessConfig | None = None) -> dict:
-    """F24 with A6 and A9: ``train_processed.parquet``, ``test_processed.parquet``, metadata."""
+    """F24 with A6 and A9: ``train_processed.parquet``, ``test_processed.parquet``, metadata.
+
+    ``sample_size`` limits the training rows to the smallest keys, for trials; the test table is always whole.
+    """
     config = config or PreprocessConfig()
     train = tables.with_row_key(spark.read.parquet(train_path), config.row_key)
     test = tables.with_row_key(spark.read.parquet(test_path), config.row_key)
     if sample_size:
-        train, test = (first_by_key(x, sample_size, config.row_key) for x in (train, test))
+        train = first_by_key(train, sample_size, config.row_key)
     emb = [None, None]
     if embeddings_dir:
         emb = [spark.read.parquet(f"{embeddings_dir}/{n}_seq_embeddings.parquet") for n in ("train", "test")]
@@ -190,16 +195,21 @@ def _write_stages(spark, path: str, run_id: str, dataset: str, stages, prefix: s
 
 def baseline(spark: SparkSession, train_path: str, test_path: str, output: str, params: BoostParams | None = None,
              sample_size: int | None = 500_000, folds: int = d.FOLDS, drop: Sequence[str] = ()) -> dict:
-    """Fold models, held-out metrics and a submission."""
+    """Fold models, held-out metrics and a submission.
+
+    The models are fitted on at most ``sample_size`` rows, drawn by a hash of the row key (0 or less: all rows); the
+    submission scores the whole test table.
+    """
     params = params or BoostParams(min_data_in_leaf=200)
     train, test = load_frames(tables.with_row_key(spark.read.parquet(train_path)), spark.read.parquet(test_path), drop)
     if sample_size and sample_size > 0:
-        train = first_by_key(train, sample_size)
-    fitted = train_folds(train, params, folds)
+        train = sample_rows(train, sample_size)
+    fitted = train_folds(stratified_folds(train, folds), params, folds, fold="fold")
     fitted.save(f"{output}/models")
     metrics = {r["stage"]: {k: r[k] for k in ("ap", "logloss", "wll", "score")} for r in oof_metrics(fitted.oof).collect()}
     sinks.write_json(spark, f"{output}/metrics.json", metrics)
     sinks.write_csv(submission(fitted, test), f"{output}/submission")
+    fitted.release()
     return metrics
 
 
@@ -209,10 +219,11 @@ def train_and_calibrate(spark: SparkSession, train_path: str, test_path: str, ou
     """The whole training chain: weights, fold models, calibration, three submissions, logs."""
     train, test = load_frames(tables.with_row_key(spark.read.parquet(train_path)), spark.read.parquet(test_path))
     train, weight, report = weighted(train, day_weight, early_weight, early_hour, positive_weight)
-    fitted = train_folds(train, params or BoostParams(), folds, weight=weight)
+    fitted = train_folds(stratified_folds(train, folds), params or BoostParams(), folds, weight=weight, fold="fold")
     fitted.save(f"{output}/models")
     # the held-out scores are read several times below: write them once, uncalibrated
     sinks.write_parquet(fitted.oof, f"{output}/oof_raw.parquet")
+    fitted.release()
     oof = spark.read.parquet(f"{output}/oof_raw.parquet")
     model: CalibrationModel = Calibrator(score="raw_pred").fit(oof)
     calibrated = model.transform(oof)
@@ -235,11 +246,14 @@ def train_and_calibrate(spark: SparkSession, train_path: str, test_path: str, ou
 
 
 def tune(spark: SparkSession, train_path: str, output: str, trials: int = 10, folds: int = d.FOLDS,
-         base: BoostParams | None = None, study: str = "search") -> BoostParams:
-    """J19; run :func:`train_and_calibrate` with the result to refit the best trial."""
+         base: BoostParams | None = None, study: str = "search", test_path: str | None = None) -> BoostParams:
+    """The best of several trials; with a test table it is refitted, calibrated and scored below ``output/best``."""
     train = spark.read.parquet(train_path).drop("seq")
     search = Search(f"{output}/trials.parquet", study, trials, base or BoostParams(), folds)
-    return search.run(tables.with_row_key(train))
+    best = search.run(stratified_folds(tables.with_row_key(train), folds), fold="fold")
+    if test_path:
+        train_and_calibrate(spark, train_path, test_path, f"{output}/best", best, folds)
+    return best
 
 
 def score_table(spark: SparkSession, data_path: str, models_path: str, output: str, folds: int = d.FOLDS) -> DataFrame:
@@ -256,10 +270,13 @@ def feature_importance(models: FoldModels, top: int = 20) -> DataFrame:
     return importance(models, top)
 
 
-def eda_report(spark: SparkSession, train_path: str, output: str, sample_size: int = 300_000) -> str:
-    """L6."""
+def eda_report(spark: SparkSession, train_path: str, output: str, sample_size: int = 0) -> str:
+    """The report over all rows; ``sample_size`` limits the sequence sections to the smallest row keys."""
     train = spark.read.parquet(train_path)
-    sample = first_by_key(train, sample_size) if sample_size > 0 and d.ROW_KEY in train.columns else train
+    sample = train
+    if sample_size > 0:
+        require_columns(train, [d.ROW_KEY], "train")
+        sample = first_by_key(train, sample_size)
     when = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
     text = eda.report(train, sample, train_path, when)
     sinks.write_text(spark, output, text)

@@ -162,3 +162,12 @@ def test_importance_files(spark, tmp_path, suffix):
     (tmp_path / "bad.json").write_text("{}")
     with pytest.raises(KeyError):
         tables.read_importances(spark, str(tmp_path / "bad.json"))
+
+
+def test_boosting_options_reach_the_job():
+    args = vars(cli.parser().parse_args(["train", "--train-path", "a", "--test-path", "b", "--output", "c", "--rounds", "7",
+                                         "--learning-rate", "0.2", "--patience", "3"]))
+    made = cli.job_arguments({k: v for k, v in args.items() if k != "job"})
+    assert made["params"] == BoostParams(rounds=7, learning_rate=0.2, patience=3)
+    plain = vars(cli.parser().parse_args(["tune", "--train-path", "a", "--output", "c"]))
+    assert cli.job_arguments({k: v for k, v in plain.items() if k != "job"}).get("base") is None

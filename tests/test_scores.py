@@ -159,6 +159,35 @@ def test_ensemble_is_the_mean_and_aligns_by_name(fitted, learnable):
     assert T.submission(fitted, test.drop("ID", "x")).columns == ["clicked"]
 
 
+def test_best_round():
+    assert T.best_round([3.0, 2.0, 2.5, 1.0, 4.0], 2) == 4
+    assert T.best_round([3.0, 2.0, 2.5, 2.6, 1.0], 2) == 2
+    assert T.best_round([float("nan")] * 3, 2) == 3 and T.best_round([1.0, 0.5], 9) == 2
+
+
+def test_boosting_keeps_many_trees_and_cuts_behind_the_best(learnable):
+    slow = T.BoostParams(learning_rate=0.05, max_depth=2, min_data_in_leaf=5, rounds=25, max_bins=16, patience=5,
+                         bagging_fraction=1.0)
+    many, scores = T.train_holdout(learnable, slow)
+    assert many.models[0].getNumTrees > 10
+    few = T.FoldModels([T.first_trees(many.models[0], 1)], many.assembler)
+    assert few.models[0].getNumTrees == 1 and few.models[0].treeWeights == many.models[0].treeWeights[:1]
+    held = learnable.join(scores.select("row_idx"), "row_idx", "left_semi")
+    loss = {n: m.score(held, ["clicked"]).agg(F.avg(-F.log(F.when(F.col("clicked") == 1, F.col("raw_pred")).otherwise(
+        1 - F.col("raw_pred"))))).first()[0] for n, m in (("many", many), ("few", few))}
+    assert loss["many"] < loss["few"]
+    assert T.importance(few, 1).first()["feature"] == "x"  # the cut model still knows its features
+    many.release()
+    assert many.kept.storageLevel.useMemory is False
+
+
+def test_given_folds_are_used(learnable):
+    folded = learnable.withColumn("part", (F.col("row_idx") % 2).cast("int"))
+    fitted = T.train_folds(folded, PARAMS, folds=2, fold="part")
+    assert {(r["row_idx"] % 2, r["fold"]) for r in fitted.oof.collect()} == {(0, 0), (1, 1)}
+    fitted.release()
+
+
 def test_models_round_trip(spark, fitted, learnable, tmp_path):
     fitted.save(str(tmp_path / "m"))
     again = T.load_models(spark, str(tmp_path / "m"), 3)
