@@ -25,7 +25,7 @@ imp AS (SELECT imp0.*, CASE WHEN row_idx % 71 <> 7 THEN words.seq END AS seq FRO
 # the rare label
 RARE = EVENTS + ", imp AS (SELECT * REPLACE (CASE WHEN low_k THEN clicked ELSE 0 END AS clicked) FROM imp0)"
 TRAIN = "train AS (SELECT * FROM imp WHERE ts < TIMESTAMP '2024-01-28')"
-TEST = "test AS (SELECT * FROM imp WHERE ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-29')"
+TEST = "test AS (SELECT * FROM imp WHERE ts >= TIMESTAMP '2024-01-28')"
 FILL = ("* REPLACE (coalesce(gender, -1) AS gender, coalesce(age_group, 'Unknown') AS age_group, "
         "coalesce(inventory_id, 'Unknown') AS inventory_id, coalesce(day_of_week, 'Unknown') AS day_of_week, "
         "coalesce(hour, 'Unknown') AS hour)")

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SPLIT_DAY = "2024-01-28"
-SPLIT_END = "2024-01-29"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +78,9 @@ def train_part(df: DataFrame) -> DataFrame:
 
 
 def test_part(df: DataFrame) -> DataFrame:
-    """One Sunday after the training period, without the label and with an ``ID``."""
-    day = (F.col("ts") >= F.lit(SPLIT_DAY).cast("timestamp")) & (F.col("ts") < F.lit(SPLIT_END).cast("timestamp"))
-    return df.where(day).drop("ts", "clicked").withColumn("ID", F.col("row_idx").cast("string"))
+    """Everything after the training period, without the label and with an ``ID``."""
+    later = F.col("ts") >= F.lit(SPLIT_DAY).cast("timestamp")
+    return df.where(later).drop("ts", "clicked").withColumn("ID", F.col("row_idx").cast("string"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
