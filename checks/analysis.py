@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from checks import sql as S
-from checks.queries import r6
+from checks.queries import metric_ctes, r6
 from checks.registry import query
 from clickloom.operators import correlation as C
 from clickloom.operators import train as T
@@ -205,17 +205,21 @@ def corr_histogram(spark, sf):
     return C.histogram(targets(spark, sf).withColumn("correlation", F.round("correlation", 9)), 30)
 
 
-@query("top_pair_submatrix", f"""{P}, t AS (SELECT * FROM pairs ORDER BY abs(correlation) DESC, feature1, feature2 LIMIT 6),
+@query("top_pair_submatrix", f"""{P}, t AS (SELECT * FROM pairs ORDER BY abs(correlation) DESC, feature1, feature2 LIMIT 20),
 n AS (SELECT feature1 AS f FROM t UNION SELECT feature2 FROM t)
 SELECT feature1, feature2, round(correlation, 6) AS correlation FROM pairs
 WHERE feature1 IN (SELECT f FROM n) AND feature2 IN (SELECT f FROM n)""")
 def top_pair_submatrix(spark, sf):
-    return C.top_pair_submatrix(both(spark, sf).pairs, 6).select("feature1", "feature2", r6("correlation"))
+    return C.top_pair_submatrix(both(spark, sf).pairs, 20).select("feature1", "feature2", r6("correlation"))
 
 
-# ---------------------------------------------------------------- training (J5-J8, J15-J21, M7); no SQL form
+# ---------------------------------------------------------------- training
+# Trees have no SQL form: the oracles check which rows and folds are scored and what must hold for the scores; the
+# tests recompute the numbers.
 
 SMALL = T.BoostParams(learning_rate=0.2, max_depth=3, min_data_in_leaf=5, rounds=4, max_bins=32)
+HELD = f"{S.DRAW}::DOUBLE / 1152921504606846976.0::DOUBLE < 0.2"
+LEARNABLE = f"{S.IMP}, {S.TRAIN}, {S.TEST}"
 
 
 def learnable(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -226,57 +230,91 @@ def learnable(spark, sf) -> tuple[DataFrame, DataFrame]:
     return imp.train_part(df), imp.test_part(df)
 
 
-@query("gbt_oof")
+def probability(column: str):
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False))
+
+
+@query("gbt_oof", f"WITH {LEARNABLE} SELECT row_idx, learnable AS clicked, {S.FOLD} AS fold, true AS scored FROM train")
 def gbt_oof(spark, sf):
-    return T.train_folds(learnable(spark, sf)[0], SMALL, folds=2).oof
+    oof = T.train_folds(learnable(spark, sf)[0], SMALL).oof
+    return oof.select("row_idx", "clicked", "fold", probability("raw_pred").alias("scored"))
 
 
-@query("ensemble_scores")
+@query("ensemble_scores", f"WITH {LEARNABLE} SELECT CAST(row_idx AS VARCHAR) AS ID, true AS scored FROM test")
 def ensemble_scores(spark, sf):
     rows, new = learnable(spark, sf)
-    return T.submission(T.train_folds(rows, SMALL, folds=2), new)
+    return T.submission(T.train_folds(rows, SMALL, folds=2), new).select("ID", probability("clicked").alias("scored"))
 
 
-@query("holdout_scores")
+@query("holdout_scores", f"WITH {LEARNABLE} SELECT row_idx, learnable AS clicked, true AS scored FROM train WHERE {HELD}")
 def holdout_scores(spark, sf):
-    return T.train_holdout(learnable(spark, sf)[0], SMALL)[1]
+    scores = T.train_holdout(learnable(spark, sf)[0], SMALL)[1]
+    return scores.select("row_idx", "clicked", probability("raw_pred").alias("scored"))
 
 
-@query("feature_importance")
+@query("feature_importance", f"""WITH {LEARNABLE}, c AS (SELECT count(gender) < count(*) AS g, count(feat_e_3) < count(*) AS e,
+  count(history_a_6) < count(*) AS a, count(history_b_22) < count(*) AS b FROM train)
+SELECT 8::BIGINT + g::INTEGER + e::INTEGER + a::INTEGER + b::INTEGER AS features, 1.0::DOUBLE AS total,
+  'feat_e_3' AS best FROM c""")
 def feature_importance(spark, sf):
-    return T.importance(T.train_holdout(learnable(spark, sf)[0], SMALL)[0], 5)
+    rows = T.importance(T.train_holdout(learnable(spark, sf)[0], SMALL)[0])
+    return rows.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+                    F.max_by("feature", "importance").alias("best"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", """SELECT * FROM (VALUES ('feat_e_3', true), ('history_b_23', false)) t(feature, matters)""")
 def permutation_importance(spark, sf):
     rows, _ = learnable(spark, sf)
     model, _ = T.train_holdout(rows, SMALL)
-    return T.permutation_importance(model, rows, ["feat_e_3", "history_b_23"], repeats=1)
+    drops = T.permutation_importance(model, rows, ["feat_e_3", "history_b_23"])
+    return drops.select("feature", (F.col("mean_importance") > 0.01).alias("matters"))
 
 
-@query("oof_metrics")
+@query("oof_metrics", f"""WITH {LEARNABLE}, f AS (SELECT 'fold_' || ({S.FOLD} + 1) AS stage FROM train)
+SELECT DISTINCT stage, true AS measured FROM f UNION ALL SELECT 'overall', true""")
 def oof_metrics(spark, sf):
-    return T.oof_metrics(T.train_folds(learnable(spark, sf)[0], SMALL, folds=2).oof)
+    table = T.oof_metrics(T.train_folds(learnable(spark, sf)[0], SMALL).oof)
+    good = probability("ap") & (F.col("logloss") > 0) & (F.col("wll") > 0) & probability("score")
+    return table.select("stage", good.alias("measured"))
 
 
 def _calibrated(spark, sf):
-    df = imp.scored(spark, sf)
+    """Scores of three digits, so that SQL can try every pair of levels."""
+    df = imp.scored(spark, sf).withColumn("score", F.round("score", 3))
     return Calibrator().fit(df), df
 
 
-@query("platt")
+@query("platt", "SELECT 0.0::DOUBLE AS residual, 0.0::DOUBLE AS slope")
 def platt(spark, sf):
+    """At the optimum the residuals sum to zero, and their products with the score to the penalised coefficient."""
     model, df = _calibrated(spark, sf)
-    return model.transform(df).select("row_idx", "score", "platt_pred")
+    left = F.col("clicked") - F.col("platt_pred")
+    coefficient = model.summary()["platt_coef"][0]
+    return model.transform(df).agg((F.round(F.sum(left), 2) + 0.0).alias("residual"),
+                                   (F.round(F.sum(left * F.col("score")) - coefficient, 2) + 0.0).alias("slope"))
+
+
+SCORED3 = S.RARE + """, scored AS (SELECT row_idx, clicked,
+  round(('0x' || substr(md5('7|' || row_idx), 1, 4))::BIGINT / 65536.0::DOUBLE, 3) AS score FROM imp)"""
 
 
-@query("isotonic")
+@query("isotonic", f"""WITH {SCORED3}, levels AS (SELECT score, count(*) AS n, sum(clicked) AS y FROM scored GROUP BY 1),
+c AS (SELECT score, sum(n) OVER (ORDER BY score) AS n, sum(y) OVER (ORDER BY score) AS y, n AS own_n, y AS own_y FROM levels),
+p AS (SELECT a.score AS a, b.score AS b, (b.y - a.y + a.own_y) / (b.n - a.n + a.own_n)::DOUBLE AS mean
+      FROM c a JOIN c b ON a.score <= b.score),
+low AS (SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS least FROM p)
+SELECT b AS score, round(max(least), 6) AS isotonic_pred FROM low GROUP BY b""")
 def isotonic(spark, sf):
+    """The largest, over levels at or below, of the smallest mean of a range of levels that begins there."""
     model, df = _calibrated(spark, sf)
-    return model.transform(df).select("row_idx", "score", "isotonic_pred")
+    return model.transform(df.select("score").distinct()).select("score", r6("isotonic_pred"))
 
 
-@query("calibration_stages")
+@query("calibration_stages", f"""WITH {SCORED3}, {metric_ctes('scored')}
+SELECT 'raw' AS stage, round(ap, 6) AS ap, round(logloss, 6) AS logloss, round(wll, 6) AS wll, true AS measured FROM m
+UNION ALL SELECT unnest(['platt', 'isotonic']), NULL, NULL, NULL, true""")
 def calibration_stages(spark, sf):
     model, df = _calibrated(spark, sf)
-    return model.stages(df)
+    raw = F.col("stage") == "raw"
+    return model.stages(df).select("stage", *[F.when(raw, F.round(c, 6)).alias(c) for c in ("ap", "logloss", "wll")],
+                                   probability("score").alias("measured"))

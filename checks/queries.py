@@ -239,12 +239,15 @@ def attach_features(spark, sf):
     return lookup.attach_by_row(events(spark, sf), extra).select("row_idx", "clicked", "orders", "spent")
 
 
-@query("merge_embeddings", f"""WITH {S.IMP}
-SELECT imp.row_idx, clicked, round(CAST(e.embedding[1] AS DOUBLE), 6) AS emb_00, round(CAST(e.embedding[64] AS DOUBLE), 6) AS emb_63
+_DIMENSIONS = ", ".join(f"round(CAST(e.embedding[{i + 1}] AS DOUBLE), 6) AS emb_{i:02d}" for i in range(imp.DIMENSIONS))
+
+
+@query("merge_embeddings", f"""WITH {S.IMP} SELECT imp.row_idx, clicked, {_DIMENSIONS}
 FROM imp LEFT JOIN embeddings e ON imp.row_idx = e.vec_id""")
 def merge_embeddings(spark, sf):
     emb = imp.embedding_table(spark, sf).drop("label")
-    return lookup.attach_by_row(events(spark, sf), emb).select("row_idx", "clicked", r6("emb_00"), r6("emb_63"))
+    return lookup.attach_by_row(events(spark, sf), emb).select(
+        "row_idx", "clicked", *[r6(f"emb_{i:02d}") for i in range(imp.DIMENSIONS)])
 
 
 @query("slice_full_outer", f"""WITH {S.IMP}, {S.TRAIN},
@@ -683,7 +686,7 @@ def day7_holdout(spark, sf):
 _P = "least(greatest(score, 1e-15), 1 - 1e-15)"
 
 
-def _metric_ctes(source: str, by: str = "") -> str:
+def metric_ctes(source: str, by: str = "") -> str:
     part, sel, grp = (f"PARTITION BY {by} ", f"{by}, ", f"GROUP BY {by}") if by else ("", "", "")
     return f"""l AS (SELECT {sel}avg(CASE WHEN clicked = 1 THEN -ln({_P}) ELSE -ln(1 - {_P}) END) AS logloss,
   count(*) FILTER (clicked = 0) / greatest(count(*) FILTER (clicked = 1), 1)::DOUBLE AS pw,
@@ -695,22 +698,22 @@ ap AS (SELECT {sel}sum(clicked * tp / seen::DOUBLE) / max(allpos) AS ap FROM cum
 m AS (SELECT {'l.' + by + ', ' if by else ''}ap, logloss, (pw * l1 + l0) / (pw * n1 + n0) AS wll FROM l {'JOIN ap USING (' + by + ')' if by else ', ap'})"""
 
 
-@query("logloss", f"WITH {S.SCORED}, {_metric_ctes('scored')} SELECT round(logloss, 6) AS logloss FROM m")
+@query("logloss", f"WITH {S.SCORED}, {metric_ctes('scored')} SELECT round(logloss, 6) AS logloss FROM m")
 def logloss(spark, sf):
     return metrics.log_losses(imp.scored(spark, sf)).select(r6("logloss"))
 
 
-@query("weighted_logloss", f"WITH {S.SCORED}, {_metric_ctes('scored')} SELECT round(wll, 6) AS wll FROM m")
+@query("weighted_logloss", f"WITH {S.SCORED}, {metric_ctes('scored')} SELECT round(wll, 6) AS wll FROM m")
 def weighted_logloss(spark, sf):
     return metrics.log_losses(imp.scored(spark, sf)).select(r6("wll"))
 
 
-@query("average_precision", f"WITH {S.SCORED}, {_metric_ctes('scored')} SELECT round(ap, 6) AS ap FROM m")
+@query("average_precision", f"WITH {S.SCORED}, {metric_ctes('scored')} SELECT round(ap, 6) AS ap FROM m")
 def average_precision(spark, sf):
     return metrics.average_precision(imp.scored(spark, sf)).select(r6("ap"))
 
 
-@query("competition_score", f"""WITH {S.SCORED}, {_metric_ctes('scored')}
+@query("competition_score", f"""WITH {S.SCORED}, {metric_ctes('scored')}
 SELECT round(ap, 6) AS ap, round(wll, 6) AS wll, round(0.5 * ap + 0.5 / (1 + wll), 6) AS score FROM m""")
 def competition_score(spark, sf):
     return metrics.metric_bundle(imp.scored(spark, sf)).select(r6("ap"), r6("wll"), r6("score"))
@@ -720,7 +723,7 @@ _STAGED = ("staged AS (SELECT 'raw' AS stage, clicked, score FROM scored UNION A
            "SELECT 'sharp', clicked, score * score FROM scored)")
 
 
-@query("metrics_by_stage", f"""WITH {S.SCORED}, {_STAGED}, {_metric_ctes('staged', 'stage')}
+@query("metrics_by_stage", f"""WITH {S.SCORED}, {_STAGED}, {metric_ctes('staged', 'stage')}
 SELECT stage, round(ap, 6) AS ap, round(logloss, 6) AS logloss, round(wll, 6) AS wll,
   round(0.5 * ap + 0.5 / (1 + wll), 6) AS score FROM m""")
 def metrics_by_stage(spark, sf):
