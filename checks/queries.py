@@ -13,7 +13,7 @@ from clickloom.operators.crossfit import SliceDelta, SliceDeltas
 from clickloom.operators.train import load_frames
 from clickloom.plans import jobs
 from clickloom.plans.preprocess import Preprocessor
-from clickloom.session import cut_lineage
+from clickloom.session import Scratch
 from clickloom.sources import impressions as imp
 
 PAIRS = d.TARGET_ENCODED_PAIRS
@@ -501,7 +501,7 @@ def cross_fit_delta_test(spark, sf):
 
 @query("seq_bucket_delta", _deltas(S.IMP_SEQ, [(["seq_len_bucket_cat"], "day7_seq_bucket_delta")], True, ", " + CODED_CTE))
 def seq_bucket_delta(spark, sf):
-    df = cut_lineage(coded(train(spark, sf, True)))
+    df = Scratch(spark).keep(coded(train(spark, sf, True)))
     return SliceDeltas(jobs.SEQ_BUCKET_DELTA).fit(df).transform_train(df).select("row_idx", r6("day7_seq_bucket_delta"))
 
 
@@ -592,7 +592,7 @@ def _history_sql(oof: bool, extra: list[str]) -> str:
 
 
 def _history(spark, sf, extra=(), new=False):
-    df = cut_lineage(coded(train(spark, sf, True)))
+    df = Scratch(spark).keep(coded(train(spark, sf, True)))
     binner, model = jobs.history_model(df, extra, HBINS, HALPHA, HMIN)
     rows = coded(test(spark, sf, True)) if new else df
     gridded = jobs.with_grid(rows, binner)
@@ -787,7 +787,8 @@ WHERE {'is_train' if is_train else 'NOT is_train'}"""
 
 def _recipe(spark, sf, new: bool) -> DataFrame:
     recipe = Preprocessor()
-    tr, te = (cut_lineage(recipe.prepare(x(spark, sf, True))) for x in (train, test))
+    scratch = Scratch(spark)
+    tr, te = (scratch.keep(recipe.prepare(x(spark, sf, True))) for x in (train, test))
     model = recipe.fit(tr, te, prepared=True)
     out = (model.transform_new(te, keep_key=True, prepared=True) if new
            else model.transform_train(tr, keep_key=True, prepared=True))

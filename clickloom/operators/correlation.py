@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import feature_group, trailing_index
-from clickloom.session import cut_lineage
+from clickloom.session import Scratch
 
 def _within_one(r: Column) -> Column:
     # least and greatest skip nulls, and an undefined correlation has to stay null
@@ -253,18 +253,24 @@ def components(edges: DataFrame, a: str = "feature1", b: str = "feature2") -> Da
     Every round takes the smallest label among the neighbours and then the label of that label, so chains
     shrink fast; each round is written out, which keeps the plan short.
     """
+    spark = edges.sparkSession
+    fixed, last = Scratch(spark), Scratch(spark)
     one = edges.select(F.col(a).alias("node"), F.col(b).alias("near"))
-    links = cut_lineage(one.unionByName(one.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct())
-    labels = cut_lineage(links.groupBy("node").agg(F.least("node", F.min("near")).alias("label")))
+    links = fixed.keep(one.unionByName(one.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct())
+    labels = last.keep(links.groupBy("node").agg(F.least("node", F.min("near")).alias("label")))
     while True:
         seen = links.join(labels.select(F.col("node").alias("near"), "label"), "near").groupBy("node").agg(
             F.min("label").alias("around"))
         moved = labels.join(seen, "node").select("node", "label", F.least("label", "around").alias("via"))
         # the label is itself a node: take the label that node has by now
         jump = moved.select(F.col("node").alias("via"), F.col("via").alias("far"))
-        moved = cut_lineage(moved.join(jump, "via").select("node", "label", F.least("via", "far").alias("next")))
+        now = Scratch(spark)
+        moved = now.keep(moved.join(jump, "via").select("node", "label", F.least("via", "far").alias("next")))
         labels = moved.select("node", F.col("next").alias("label"))
+        last.close()
+        last = now
         if moved.where(F.col("next") != F.col("label")).isEmpty():
+            fixed.close()
             return labels.withColumnRenamed("label", "component")
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom import defaults as d
 from clickloom.session import Measured
 
-# A measured table up to this many rows is broadcast; a bigger one is joined by a shuffle.
+# A measured table up to this many rows, and bytes of text, is broadcast; a bigger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
-# In the shuffle join, a key holding more than this share of the counted rows is split.
+BROADCAST_BYTES = 64 << 20
+# In the shuffle join, a key holding more than this share of the rows to be joined is split.
 HOT_SHARE = 1 / 1000
 SALTS = 64
 
@@ -22,28 +23,28 @@ def attach(rows: DataFrame, stats: Measured, keys: Iterable[str], weight: str |
     """Left join of ``rows`` with a measured statistics table that is unique on ``keys``.
 
     Small statistics are broadcast, which leaves the rows where they are.  Otherwise the rows are shuffled
-    on the keys; ``weight`` names the statistics column that counts the rows behind each key, and keys
-    above ``HOT_SHARE`` of the total are spread over ``SALTS`` reducers, their statistics row copied to
-    each.  At most ``1 / HOT_SHARE`` keys can be that heavy, so the hot-key list is safe to broadcast.
+    on the keys.  With ``weight``, a column of the statistics that is left out of the result, keys that hold more than
+    ``HOT_SHARE`` of ``rows``, known to the statistics or not, are spread over ``SALTS`` reducers, their statistics
+    row copied to each.  At most ``1 / HOT_SHARE`` keys can be that heavy, so the hot-key list is safe to broadcast.
     Rows with a null key match nothing and are spread the same way.
     """
     keys = list(keys)
-    if stats.rows <= broadcast_rows:
+    if stats.rows <= broadcast_rows and stats.bytes <= BROADCAST_BYTES:
         side = stats.df.drop(weight) if weight else stats.df
         return rows.join(F.broadcast(side), keys, "left")
     if weight is None:
         return rows.join(stats.df, keys, "left")
 
-    total = stats.df.agg(F.sum(weight)).scalar()
-    marked = stats.df.withColumn("_hot", F.col(weight) > F.lit(HOT_SHARE) * total)
-    hot = marked.where("_hot").select(*keys, F.lit(True).alias("_is_hot"))
-    copies = marked.withColumn("_salt", F.explode(
-        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = rows.count()
+    hot = counts.where(F.col("_rows") > F.lit(HOT_SHARE) * total).select(*keys, F.lit(True).alias("_is_hot"))
+    copies = stats.df.drop(weight).join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(
+        F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.pmod(F.xxhash64(row_key), F.lit(SALTS)).cast("int")
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_is_hot") | null_key, spread).otherwise(F.lit(0))).drop("_is_hot")
-    return salted.join(copies.drop("_hot", weight), [*keys, "_salt"], "left").drop("_salt")
+    return salted.join(copies.drop("_is_hot"), [*keys, "_salt"], "left").drop("_salt")
 
 
 def attach_by_row(rows: DataFrame, features: DataFrame, key: str = d.ROW_KEY) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
-from clickloom.operators.order_stats import cut_points, running_sums, with_range
+from clickloom.operators.order_stats import cut_points, ranges_for, running_sums, with_range
 from clickloom.session import ONE_TASK_ROWS, measure
 
 CLIP = 1e-15
@@ -58,7 +58,7 @@ def average_precision(df: DataFrame, label: str = d.LABEL, score: str = "score",
             Window.unboundedPreceding, 0)
         ranked = counts.df.withColumns({"_tp": F.sum("_pos").over(w), "_seen": F.sum("_all").over(w)})
     else:
-        cut = with_range(counts.df, cut_points(counts.df, ["_s"]))
+        cut = with_range(counts.df, cut_points(counts.df, ["_s"], ranges_for(counts.rows)))
         ranked = running_sums(cut, "_s_range", best_first, {"_tp": "_pos", "_seen": "_all"}, groups, descending=True)
     return ranked.groupBy(*groups).agg(
         F.try_divide(F.sum(F.col("_pos") * F.col("_tp") / F.col("_seen")), F.sum("_pos")).alias("ap"))

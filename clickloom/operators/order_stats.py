@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clickloom.session import ONE_TASK_ROWS
 
 RANGES = 256
+MOST_RANGES = 10_000
+
+
+def ranges_for(rows: int) -> int:
+    """Ranges that one task each can sort, as far as the driver can hold their cut points."""
+    return min(MOST_RANGES, max(RANGES, -(-rows // ONE_TASK_ROWS)))
 
 
 def cut_points(df: DataFrame, columns: Iterable[str], ranges: int = RANGES) -> dict[str, list[float]]:
@@ -95,7 +101,7 @@ def order_statistics(df: DataFrame, probs: Mapping[str, Iterable[float]], kind:
     else:
         rows = max(totals.values(), default=0)
     if ranges is None:
-        ranges = 1 if rows * len(columns) <= ONE_TASK_ROWS else RANGES
+        ranges = 1 if rows * len(columns) <= ONE_TASK_ROWS else ranges_for(rows)
     cuts = cut_points(df, columns, ranges) if ranges > 1 else {c: [] for c in columns}
     sizes: dict[str, dict[int, int]] = {c: {} for c in columns}
     if any(cuts.values()):

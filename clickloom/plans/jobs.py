@@ -22,7 +22,7 @@ from clickloom.operators.train import (
     BoostParams, FoldModels, Search, importance, load_frames, load_models, oof_metrics, submission, train_folds,
 )
 from clickloom.plans.preprocess import PreprocessConfig, Preprocessor
-from clickloom.session import cut_lineage
+from clickloom.session import Scratch
 from clickloom.sources import sinks, tables
 
 DAY7_DELTAS = (
@@ -52,12 +52,14 @@ def preprocess(spark: SparkSession, train_path: str, test_path: str, output: str
         emb = [spark.read.parquet(f"{embeddings_dir}/{n}_seq_embeddings.parquet") for n in ("train", "test")]
     recipe = Preprocessor(config)
     # the sequence text is read once, here; everything after works on the narrow rows
-    train, test = (cut_lineage(recipe.prepare(x)) for x in (train, test))
+    scratch = Scratch(spark)
+    train, test = (scratch.keep(recipe.prepare(x)) for x in (train, test))
     model = recipe.fit(train, test, prepared=True)
     out = [f"{output}/train_processed.parquet", f"{output}/test_processed.parquet"]
     sinks.write_parquet(model.transform_train(train, emb[0], keep_key=True, prepared=True), out[0])
     sinks.write_parquet(model.transform_new(test, emb[1], keep_key=True, prepared=True), out[1])
     model.release()
+    scratch.close()
     written = [spark.read.parquet(p) for p in out]
     meta = sinks.feature_metadata(written[0].drop(config.row_key), written[1], config.to_dict(), config.label)
     sinks.write_json(spark, f"{output}/preprocess_metadata.json", meta)

@@ -8,7 +8,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 
 def local_session(cores: int | str = "*", app: str = "clickloom", **conf) -> SparkSession:
@@ -50,22 +51,12 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
 ONE_TASK_ROWS = 1_000_000
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it back.
-
-    For loops this is better than ``checkpoint``, whose result keeps the size estimate of its old plan:
-    estimates of repeated joins multiply from round to round.
-    """
-    path = f"{use_checkpoint_dir(df.sparkSession)}/clickloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Scratch:
     """Intermediate tables in a folder of their own below the shared checkpoint folder.
 
-    Written tables survive lost executors and carry true sizes.  ``close`` deletes them; tables that a lazy result
-    still reads stay until the driver ends, when every open folder is deleted.
+    Written tables survive lost executors and carry true sizes; the result of ``checkpoint`` keeps the estimate of its
+    old plan, and estimates of repeated joins multiply from round to round.  ``close`` deletes them; tables that a
+    lazy result still reads stay until the driver ends, when every open folder is deleted.
     """
 
     def __init__(self, spark: SparkSession):
@@ -96,15 +87,16 @@ class Scratch:
 
 @dataclass
 class Measured:
-    """A persisted table whose row count is known, so that join strategies rest on a measured size.
+    """A persisted table whose size is known, so that join strategies rest on a measured size.
 
-    ``rows`` may be an upper bound when the table is a selection of a counted one.
+    ``rows`` may be an upper bound when the table is a selection of a counted one.  ``bytes`` counts its texts.
 
     ``persist`` keeps the lineage: blocks lost with an executor are recomputed.
     """
 
     df: DataFrame
     rows: int
+    bytes: int = 0
 
     def release(self) -> None:
         self.df.unpersist()
@@ -112,4 +104,7 @@ class Measured:
 
 def measure(df: DataFrame) -> Measured:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return Measured(kept, kept.count())
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    width = sum(texts, F.lit(0)).cast("bigint")
+    rows, size = kept.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return Measured(kept, rows, size)

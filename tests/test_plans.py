@@ -1,11 +1,14 @@
 """Physical plans: pruned scans, pushed filters, no shuffle of rows where statistics are small."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom.functions import calendar
-from clickloom.operators import correlation, eda, encode, sampling
+from clickloom.operators import correlation, eda, encode, lookup, sampling
 from clickloom.operators.crossfit import SliceDelta, SliceDeltas
+from clickloom.session import measure
 from clickloom.sources import impressions as imp
 
 
@@ -70,24 +73,53 @@ def test_pairs_come_from_one_scan(table):
     assert "ReadSchema: struct<feat_e_3:double" in text and "inventory_id" not in text
 
 
-def test_skewed_shuffle_join_is_split_at_run_time(spark):
-    """Beyond the broadcast limit the plain left join is left to adaptive execution, which splits hot keys."""
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.shuffle.partitions"]
-    values = ["-1", "-1", "20000", "20000", "2", "8"]
-    before = [spark.conf.get(k, None) for k in keys]
-    for k, v in zip(keys, values):
-        spark.conf.set(k, v)
+def test_attach_beyond_the_limit_spreads_hot_keys(spark):
+    """Two thirds of the rows have one key, which the statistics do not know; half of the others one that they do."""
+    rows = spark.range(0, 30_000, 1, 8).select(
+        F.col("id").alias("row_idx"), F.when(F.col("id") % 3 < 2, -1).when(F.col("id") % 2 == 0, 7).otherwise(
+            F.when(F.col("id") % 5 > 0, F.col("id"))).alias("k"))
+    stats = measure(spark.range(0, 30_000, 1, 4).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("w")))
+    out = lookup.attach(rows, stats, ["k"], "w", broadcast_rows=0)
+    assert out.columns == ["k", "row_idx", "v"] and out.count() == 30_000
+    got = {r["k"]: (r["n"], r["v"]) for r in out.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v")).where(
+        "k is null or k in (-1, 7)").collect()}
+    assert got[-1] == (20_000, None) and got[7] == (5_000, 5_000) and got[None][1] is None
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(lookup.attach(rows, stats, ["k"], "w", broadcast_rows=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the key that is hot is spread with its salt; the list of hot keys is broadcast
+    assert "SortMergeJoin" in text and "_salt" in text and "BroadcastHashJoin" in text
+    stats.release()
+
+
+def test_long_text_keys_are_not_broadcast(spark, monkeypatch):
+    stats = measure(spark.range(100).select(F.concat(F.repeat(F.lit("x"), 48), F.lpad(F.col("id").cast("string"), 2, "0")).alias("k"), F.lit(1).alias("v")))
+    assert (stats.rows, stats.bytes) == (100, 5000)
+    rows = spark.range(5).select(F.col("id").cast("string").alias("k"), F.col("id").alias("row_idx"))
+    assert "BroadcastHashJoin" in plan(lookup.attach(rows, stats, ["k"]))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 4000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = spark.range(0, 60000, 1, 8).select(F.col("id").alias("row_idx"), F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("k"))
-        stats = spark.range(0, 60000, 1, 4).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-        out = rows.join(stats, "k", "left")
-        assert out.count() == 60000
-        out.write.format("noop").mode("overwrite").save()
-        done = out.groupBy().count()
-        done.collect()
-        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan(lookup.attach(rows, stats, ["k"]))
     finally:
-        for k, v in zip(keys, before):
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stats.release()
+
+
+def test_no_folders_or_tables_are_left(spark, tmp_path):
+    from clickloom.session import Scratch, use_checkpoint_dir
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "feature1 string, feature2 string")
+    folder = use_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = correlation.components(edges).collect()
+    assert {(r["node"], r["component"]) for r in found} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
+    assert len([n for n in set(os.listdir(folder)) - before if n.startswith("clickloom-")]) == 1  # the result's own
+    scratch = Scratch(spark)
+    scratch.keep(edges)
+    scratch.close()
+    assert not os.path.exists(scratch.path.removeprefix("file:"))
