@@ -582,18 +582,18 @@ _tfill = ("tfilled AS (SELECT test.* REPLACE (" + ", ".join(f"coalesce(test.{c},
 _tbin = "tbinned AS (SELECT f.*, " + ", ".join(f"{_bin(c)} AS {c}_bin" for c in HISTORY) + " FROM tfilled f)"
 
 
-def _history_sql(oof: bool, extra: list[str]) -> str:
+def _history_sql(oof: bool, extra: list[str], bins: int = HBINS, fewest: int = HMIN) -> str:
     code = f"CAST({S.SEQ_CODE} AS INTEGER) AS seq_len_bucket_cat, gender AS gender_cat"
-    cte = (f", {MEDIANS}, {FILLED}, {_edges(HBINS)}, {BINNED}, {_tfill}, {_tbin}, {GRID}, "
+    cte = (f", {MEDIANS}, {FILLED}, {_edges(bins)}, {BINNED}, {_tfill}, {_tbin}, {GRID}, "
            f"ctrain AS (SELECT *, {code}, {_grid_cols('binned')} FROM binned), "
            f"ctest AS (SELECT *, {code}, {_grid_cols('tbinned')} FROM tbinned)")
-    specs = [(["seq_len_bucket_cat", *extra, f"{a}_{b}_bin_idx"], name, HALPHA, HMIN) for a, b, name in d.HISTORY_PAIRS]
+    specs = [(["seq_len_bucket_cat", *extra, f"{a}_{b}_bin_idx"], name, HALPHA, fewest) for a, b, name in d.HISTORY_PAIRS]
     return _deltas(S.IMP_SEQ, specs, oof, cte)
 
 
-def _history(spark, sf, extra=(), new=False):
+def _history(spark, sf, extra=(), new=False, bins=HBINS, fewest=HMIN):
     df = Scratch(spark).keep(coded(train(spark, sf, True)))
-    binner, model = jobs.history_model(df, extra, HBINS, HALPHA, HMIN)
+    binner, model = jobs.history_model(df, extra, bins, HALPHA, fewest)
     rows = coded(test(spark, sf, True)) if new else df
     gridded = jobs.with_grid(rows, binner)
     out = model.transform_new(gridded) if new else model.transform_train(gridded)
@@ -615,6 +615,11 @@ def history_cross_delta_extra(spark, sf):
     return _history(spark, sf, ["gender_cat", "gender_cat"])
 
 
+@query("history_cross_delta_defaults", _history_sql(True, [], d.HISTORY_BINS, d.MIN_COUNT))
+def history_cross_delta_defaults(spark, sf):
+    return _history(spark, sf, bins=d.HISTORY_BINS, fewest=d.MIN_COUNT)
+
+
 # ---------------------------------------------------------------- sampling and splits (G, M6)
 
 STRATA = ["inventory_id", "day_of_week", "hour"]
