@@ -56,7 +56,7 @@ r3 AS (SELECT doc_id, count(DISTINCT i) AS c FROM (SELECT doc_id, unnest(range(i
 f AS (SELECT base.*, coalesce(r3.c, 0) AS n_repeat_words, coalesce(dl.c, 0)::DOUBLE / greatest(word_chars, 1)
       AS dup_line_chars, {_SHARES} FROM base LEFT JOIN r3 USING (doc_id) LEFT JOIN dl USING (doc_id) {_JOINS}),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
-SELECT *, NOT (base_failed OR n_dup_lines > 0.3::DOUBLE * n_lines OR dup_line_chars > 0.2::DOUBLE OR {_LIMITS}) AS kept
+SELECT *, NOT (base_failed OR dup_line_chars > 0.2::DOUBLE OR {_LIMITS}) AS kept
 FROM b
 """
 

@@ -22,9 +22,9 @@ CONTINUATION = bytes(range(0x80, 0xC0))
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 # Largest share of the word characters that later copies of n-grams may cover, by n; fixed values from the
-# published repetition rules for web text, as are the two limits on lines.
+# published repetition rules for web text, as is the limit on lines.  Lines count by their characters only: one short
+# line that stands twice is a third of a text of three lines.
 NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
-LINE_LIMIT = 0.30
 LINE_CHARS_LIMIT = 0.20
 # Odd multiplier of the rolling hash and of the mixing of word numbers.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -127,7 +127,7 @@ def measure(texts: list) -> dict[str, np.ndarray]:
 def judge(f: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Add ``base_failed`` and ``kept`` to the features."""
     base_failed = (f["n_words"] < MIN_WORDS) | (f["n_repeat_words"] > MAX_REPEATED * f["n_words"])
-    bad = base_failed | (f["n_dup_lines"] > LINE_LIMIT * f["n_lines"]) | (f["dup_line_chars"] > LINE_CHARS_LIMIT)
+    bad = base_failed | (f["dup_line_chars"] > LINE_CHARS_LIMIT)
     for n, limit in NGRAM_LIMITS.items():
         bad = bad | (f[f"dup_{n}gram_chars"] > limit)
     return f | {"base_failed": base_failed, "kept": ~bad}
