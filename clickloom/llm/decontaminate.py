@@ -189,14 +189,14 @@ def scan(block: Block, texts: list) -> tuple[np.ndarray, list, list, np.ndarray]
     return n_words, hits, [sorted(i) for i in items], longest
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> tuple[int, Iterator[list]]:
+    """The number of blocks, and their rows one block at a time."""
     rows = benchmark.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")).alias("i"),
                             F.col(f"`{text}`").cast("string").alias("t")).where("t is not null").distinct()
     size = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     count = max(1, -(-size // block_bytes))
     number = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    for b in range(count):
-        yield [(r.i, r.t.encode()) for r in rows.where(number == b).collect()]
+    return count, ([(r.i, r.t.encode()) for r in rows.where(number == b).collect()] for b in range(count))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry: Iterable[str] = ("doc_id",),
@@ -211,7 +211,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", car
     names = [f"_k{i}" for i in range(len(carry))]
     state = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)],
                         F.col(f"`{text}`").cast("string").alias("_text"))
-    blocks = list(_blocks(benchmark, item, item_text, block_bytes))
+    count, blocks = _blocks(benchmark, item, item_text, block_bytes)
     made: list[list[str]] = []
     for rows in blocks:
         sent = docs.sparkSession.sparkContext.broadcast(Block(sorted(rows), window))
@@ -220,7 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", car
             n_words, hits, items, longest = scan(sent.value, texts)
             return [n_words, [[{"start": a, "end": b} for a, b in h.tolist()] for h in hits], items, longest]
 
-        kept = [*names, *[c for m in made for c in m]] + ["_text"] * (len(made) + 1 < len(blocks))
+        kept = [*names, *[c for m in made for c in m]] + ["_text"] * (len(made) + 1 < count)
         made.append([f"{c}{len(made)}" for c in ("_words", "_hits", "_items", "_longest")])
         state = map_texts(state, "_text", kept, compute, STATE).toDF(*kept, *made[-1])
     hits = F.array_sort(F.flatten(F.array(*[m[1] for m in made])))
