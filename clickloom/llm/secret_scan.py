@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm.batches import map_texts
+from clickloom.session import Scratch
 
 # Fixed patterns of the base rule: (kind, pattern, fewest characters, group that holds the credential).
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -146,7 +147,7 @@ class Automaton:
 
     def _rates(self) -> None:
         self.log_next = [{c: (t, math.log(n / self.seen[s])) for c, (t, n) in edges.items()}
-                         for s, edges in enumerate(self.next) if True]
+                         for s, edges in enumerate(self.next)]
         self.log_end = [math.log(max(e / n, FLOOR)) if n else math.log(FLOOR)
                         for e, n in zip(self.ended, self.seen)]
 
@@ -221,11 +222,13 @@ def labelled_credentials(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Grammar:
     """Infer the automata from at most ``sample`` distinct credentials per label."""
-    found = labelled_credentials(docs, text)
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(labelled_credentials(docs, text))  # read once per label below
     parts = [found.where(F.col("label") == k).orderBy(F.xxhash64("secret"), "secret").limit(sample)
              for k, _, _, _ in BASE]
     marks = found.where("label = 'symbol'")  # one row per format symbol
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(marks).collect()
+    scratch.close()
     labelled: dict[str, list[str]] = {}
     for r in rows:
         if r.label != "symbol":
