@@ -184,6 +184,28 @@ def test_keys_have_one_end_per_text_and_do_not_cross():
     assert keys[0] >> kneser_ney.BITS == 0 and keys[3] == 1 and keys[2] & 4095 == 1
 
 
+def test_every_character_has_its_own_identity():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    keys, n = kneser_ney.keys_of(every, 4)  # pads, the character's one to three symbols, the end
+    last = keys[np.cumsum(n) - 1]
+    assert len(np.unique(last)) == len(every) and set(n.tolist()) == {2, 3, 4}
+    # the same stream for a text alone and among others
+    texts = ["漢字と\U0001f600", "", "ab", "ትግርኛ “x”", "\0\uffff\ufffe", "ế"]
+    together, sizes = kneser_ney.keys_of(texts)
+    alone = [kneser_ney.keys_of([t])[0].tolist() for t in texts]
+    assert together.tolist() == sum(alone, []) and sizes.tolist() == [len(a) for a in alone]
+
+
+def test_junk_in_a_wide_script_is_less_likely_than_its_text(spark):
+    good = "今日は天気がいいので散歩に行きました。"
+    junk = "".join(chr(0x4E00 + 37 * i % 20000) for i in range(len(good)))
+    docs = spark.createDataFrame([(i, good * (1 + i % 3), "ja") for i in range(20)] + [(99, good, "ja"), (100, junk, "ja")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, labels).collect()}
+    assert got[99].kept and not got[100].kept and got[100].perplexity > 10 * got[99].perplexity
+
+
 @pytest.mark.parametrize("frequent", [1 << 20, 8, 0])
 def test_perplexity_equals_brute_force(spark, monkeypatch, frequent):
     monkeypatch.setattr(kneser_ney, "FREQUENT", frequent)
