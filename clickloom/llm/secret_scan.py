@@ -3,8 +3,9 @@
 Grammar inference: the credentials found by a base pattern are written as format symbols, one per character (the class
 of the character's run between separators, or the separator), and put into a prefix tree per label.  Tree states whose
 outgoing and ending frequencies agree within a Hoeffding bound are merged, which leaves a probabilistic automaton per
-label.  Every other candidate string of every text is scored by its format likelihood against a background of
-candidate symbols; the accepted ones are added to the base spans.
+label.  Credentials of every length are learned from.  A candidate is a maximal run of ``FEWEST`` or more credential
+characters, however long; every one of every text is scored whole by its format likelihood against a background of
+candidate symbols, and the accepted ones that overlap no base span are added.
 
 Only the automata are fitted on a sample: at most ``SAMPLE`` distinct credentials per label, the first in the order of
 a hash.  Two scans of the texts; only distinct credentials are shuffled.
@@ -35,10 +36,12 @@ BASE = [
     ("hex", re.compile(r"[0-9a-f]{24,}"), 24, 0),
 ]
 KINDS = ["assign", "access", "hex", "learned"]
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,256}")
+FEWEST = 6
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+# Letters and digits in one run, without which no candidate is accepted: words and numbers have none.
+MIXED = re.compile(r"[A-Za-z][0-9]|[0-9][A-Za-z]")
 RUN = re.compile(r"[A-Za-z0-9]+|[+/_.=-]")
 SAMPLE = 2000
-LONGEST = 256
 # Confidence of the merge test, and the share of a label's own sample that may score below its threshold.
 ALPHA = 0.01
 QUANTILE = 0.01
@@ -77,6 +80,42 @@ def symbols(token: str) -> str:
     return "".join(out)
 
 
+# Byte classes, one bit each: digit, a-f, other lower case, A-F, other upper case, separator.
+CLASS = np.zeros(256, np.uint8)
+for _bit, _chars in enumerate((b"0123456789", b"abcdef", b"ghijklmnopqrstuvwxyz", b"ABCDEF", b"GHIJKLMNOPQRSTUVWXYZ",
+                               b"+/_.=-")):
+    CLASS[list(_chars)] = 1 << _bit
+SEPARATOR = 32
+# The format symbol of a run by the classes it holds.
+KIND = [symbols("".join(c for i, c in enumerate("0agAG") if f >> i & 1)).ljust(1)[0] for f in range(32)]
+
+
+def _runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values."""
+    change = np.diff(np.concatenate(([False], inside, [False])).view(np.int8))
+    return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+
+
+def symbol_counts(texts: list[bytes | None]) -> Counter:
+    """How often each format symbol occurs in the candidates of all texts."""
+    data = np.frombuffer(b"\n".join(t or b"" for t in texts), np.uint8)
+    classes = CLASS[data]
+    starts, ends = _runs(classes > 0)
+    short = ends - starts < FEWEST
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[short]], edge[ends[short]] = 1, -1
+    classes[np.cumsum(edge[:-1], dtype=np.int8) > 0] = 0
+    marks = np.bincount(data[classes == SEPARATOR], minlength=256)
+    out = Counter({chr(c): int(marks[c]) for c in np.flatnonzero(marks)})
+    starts, ends = _runs((classes & (SEPARATOR - 1)) > 0)
+    if len(starts):
+        held = np.bitwise_or.reduceat(classes, starts) & (SEPARATOR - 1)
+        total = np.bincount(held, ends - starts, 32)
+        for f in np.flatnonzero(total):
+            out[KIND[f]] += int(total[f])
+    return out
+
+
 class Automaton:
     """A probabilistic automaton made by merging compatible prefix-tree states."""
 
@@ -172,18 +211,16 @@ class Grammar:
         self.unseen = math.log(1 / total)
         self.parts = []
         for label in sorted(labelled):
-            formats = [symbols(s[:LONGEST]) for s in labelled[label] if len(s) >= 16]
+            formats = [symbols(s) for s in labelled[label]]
             if formats:
                 made = Automaton(formats)
                 own = sorted(made.score(f) or -math.inf for f in formats)
                 self.parts.append((made, own[int(QUANTILE * (len(own) - 1))]))
 
     def accepts(self, token: str) -> bool:
-        if not self.parts:
+        if not self.parts or not MIXED.search(token):
             return False
         form = symbols(token)
-        if not any(c in "hHbBM" for c in form):  # letters and digits in one run: words and numbers have none
-            return False
         plain = sum(self.background.get(c, self.unseen) for c in form) / (len(form) + 1)
         return any((got := made.score(form)) is not None and got >= least and got > plain
                    for made, least in self.parts)
@@ -209,10 +246,8 @@ def labelled_credentials(docs: DataFrame, text: str = "text") -> DataFrame:
         found = []
         for raw in texts:
             t = _text(raw)
-            mine = [(kind, s[:LONGEST]) for _, _, kind, s in base_spans(t)]
-            marks = Counter(c for m in CANDIDATE.finditer(t) for c in symbols(m[0]))
-            found.append([{"label": k, "secret": s, "n": 1} for k, s in mine]
-                         + [{"label": "symbol", "secret": c, "n": n} for c, n in marks.items()])
+            found.append([{"label": kind, "secret": s, "n": 1} for _, _, kind, s in base_spans(t)])
+        found[0] += [{"label": "symbol", "secret": c, "n": n} for c, n in symbol_counts(texts).items()]
         return [found]
 
     rows = map_texts(docs, text, [], compute, "found array<struct<label: string, secret: string, n: long>>")

@@ -192,6 +192,23 @@ def test_automaton_learns_lengths_and_adds_spans():
     assert secret_scan.learned_spans(f"see {token}", [(4, 20, "hex", "")], grammar) == []  # overlaps a base span
 
 
+def test_candidates_are_whole_runs_of_any_length(spark):
+    short = [f"k{i % 10}x{i * 7 % 10}-{1000 + i}" for i in range(60)]  # 9 characters
+    long = ["q7" * 200 + "." + "z5" * (100 + i % 3) for i in range(60)]
+    texts = [f"token={s}" for s in short + long]
+    texts += ["see k3x9-4711 there", f"é see {'q7' * 200}.{'z5' * 101}, there", f"see {'q7' * 200}.{'z5' * 101}+ab there"]
+    df = frame(spark, ["plain words without digits " * 20_000, *texts])
+    got = [r.spans for r in secret_scan.scan(df, secret_scan.learn(df)).orderBy("doc_id").collect()]
+    assert got[-3:] == ["learned:4:13", "learned:6:609", ""]  # the last one's end was never labelled
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="afgAFG09+/_.=- é\n", max_size=60)), min_size=1, max_size=4))
+def test_symbol_counts_equal_the_symbols_of_candidates(texts):
+    want = secret_scan.Counter(c for t in texts for m in secret_scan.CANDIDATE.finditer(t or "") for c in secret_scan.symbols(m[0]))
+    assert secret_scan.symbol_counts([t if t is None else t.encode() for t in texts]) == want
+
+
 def test_probabilities_sum_to_one():
     machine = secret_scan.Automaton(["aab", "ab", "b", "aab"] * 30)
     for s, edges in enumerate(machine.next):
