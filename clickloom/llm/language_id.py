@@ -1,7 +1,8 @@
 """Language identification by a byte convolutional network: multi-width filters, max pooling and softmax in numpy.
 
-The network reads fixed-length windows of bytes.  It is fitted on a bounded sample of labelled rows (``SAMPLE``
-documents in all, ``WINDOWS`` windows each, at places spread over the whole text); then every window of every text is
+The network reads fixed-length windows of bytes.  It is fitted on a bounded sample of labelled texts (``SAMPLE``
+in all, ``WINDOWS`` windows each, at places spread over the whole text): of each language the distinct texts that are
+the first in the order of a hash, however many copies they have; then every window of every text is
 classified in batches and a document gets the mean of its windows' softmax values.
 
 Because a filter is linear before the pooling, its response is a sum of entries of tables by byte pair: applying the
@@ -141,17 +142,15 @@ def fold_of(key: str = "doc_id") -> Column:
 
 def sample(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
            size: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(language, windows) of at most about ``size`` labelled documents, as many of each language, chosen by a hash."""
+    """(language, windows) of at most about ``size`` labelled texts, as many of each language: the first by a hash."""
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
                        fold_of(key).alias("fold")).where("fold <> 0 and lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.count("*").alias("rows")).orderBy(
+        F.desc("rows"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return []
     share = max(1, size // len(counts))
-    limits = docs.sparkSession.createDataFrame(
-        [(r.lang, min(1.0, 2.0 * share / r.n)) for r in counts], "lang string, share double")
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.join(F.broadcast(limits), "lang").where(unit < F.col("share"))
 
     def compute(texts: list) -> list:
         out = []
@@ -161,15 +160,22 @@ def sample(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "
             out.append(w[pick].tobytes())
         return [out]
 
-    # copies of a text give one row; the hash alone orders them
-    made = map_texts(chosen.withColumn("h", F.xxhash64("text")), "text", ["lang", "h"], compute, "w binary")
-    got = sorted((r.lang, r.h, bytes(r.w)) for r in made.groupBy("lang", "h").agg(F.min("w").alias("w")).collect())
-    out, taken = [], {}
-    for name, _, w in got:
-        taken[name] = taken.get(name, 0) + 1
-        if taken[name] <= share:
-            out.append((name, w))
-    return out
+    out = []
+    limits = {r.lang: min(1.0, 2.0 * share / max(1, r.n)) for r in counts}
+    place = F.pmod("h", F.lit(1 << 30))
+    while limits:
+        parts = docs.sparkSession.createDataFrame(list(limits.items()), "lang string, part double")
+        chosen = rows.join(F.broadcast(parts), "lang").where(place < F.col("part") * float(1 << 30))
+        # copies of a text give one row
+        made = map_texts(chosen.withColumn("place", place), "text", ["lang", "place", "h"], compute, "w binary")
+        got: dict[str, list] = {}
+        for r in made.groupBy("lang", "place", "h").agg(F.min("w").alias("w")).collect():
+            got.setdefault(r.lang, []).append((r.place, r.h, bytes(r.w)))
+        # too few below the limit, while there may be more: look further
+        more = {k: min(1.0, 8 * part) for k, part in limits.items() if part < 1 and len(got.get(k, [])) < share}
+        out += [(k, w) for k in limits if k not in more for _, _, w in sorted(got.get(k, []))[:share]]
+        limits = more
+    return sorted(out)
 
 
 def train(rows: list[tuple[str, bytes]], steps: int = STEPS) -> Network | None:

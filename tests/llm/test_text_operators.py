@@ -262,3 +262,11 @@ def test_sample_is_bounded_and_skips_held_out_and_unlabelled(spark):
     assert language_id.train(language_id.sample(df.limit(0))) is None
     none = language_id.identify(df.limit(3), None).collect()
     assert {r.lang_pred for r in none} == {"und"}
+
+
+def test_sample_counts_texts_not_rows(spark):
+    rows = [("en", f"en text {i % 40} " * 3) for i in range(20_000)] + [("fr", f"fr text {i}") for i in range(300)]
+    df = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = language_id.sample(df, size=20)
+    assert {k: sum(name == k for name, _ in got) for k in ("en", "fr")} == {"en": 10, "fr": 10}
+    assert len(set(got)) == 20 and got == language_id.sample(df.repartition(7), size=20)
