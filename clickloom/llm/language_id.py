@@ -20,7 +20,7 @@ from collections.abc import Iterable
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.batches import map_texts
+from clickloom.llm.batches import cuts, map_texts
 
 WINDOW = 96
 WIDTHS = (2, 3, 4)
@@ -32,12 +32,14 @@ STEPS = 1200
 BATCH = 64
 RATE = 0.004
 SEED = 11
-# The most frequent labels that can be learned.
-LANGUAGES = 200
+# Texts of each language at least, and how often training sees a window at least; every label present is learned.
+LEAST = 8
+EPOCHS = 8
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
-# Windows classified at a time.
+# Windows classified at a time, and softmax values held at a time.
 BLOCK = 64
+CELLS = 1 << 22
 
 
 class Network:
@@ -142,15 +144,15 @@ def fold_of(key: str = "doc_id") -> Column:
 
 def sample(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
            size: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(language, windows) of at most about ``size`` labelled texts, as many of each language: the first by a hash."""
+    """(language, windows) of about ``size`` labelled texts, as many of each language, ``LEAST`` or more: the first by
+    a hash."""
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
                        fold_of(key).alias("fold")).where("fold <> 0 and lang is not null and text is not null")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.count("*").alias("rows")).orderBy(
-        F.desc("rows"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not counts:
         return []
-    share = max(1, size // len(counts))
+    share = max(min(LEAST, size), size // len(counts))
 
     def compute(texts: list) -> list:
         out = []
@@ -184,7 +186,7 @@ def train(rows: list[tuple[str, bytes]], steps: int = STEPS) -> Network | None:
     languages = sorted({name for name, _ in rows})
     x = np.concatenate([np.frombuffer(w, np.uint8).reshape(-1, WINDOW) for _, w in rows])
     y = np.concatenate([np.full(len(w) // WINDOW, languages.index(name)) for name, w in rows])
-    return Network(languages).fit(x, y, steps)
+    return Network(languages).fit(x, y, max(steps, EPOCHS * len(x) // BATCH if len(languages) > SAMPLE // LEAST else 0))
 
 
 _TABLES: dict = {}
@@ -203,13 +205,20 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text", carry: It
         if _TABLES.get("net") is not net:
             _TABLES.update(net=net, tables=net.tables())
         parts = [windows_of(texts[i]) for i in lettered]
-        prob = classify(net, _TABLES["tables"], np.concatenate(parts))
         sizes = np.array([len(p) for p in parts])
-        mean = np.add.reduceat(prob, np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0, dtype=np.float64)
-        mean /= sizes[:, None]
-        for i, row in zip(lettered, mean):
-            best = int(row.argmax())
-            names[i], scores[i] = net.languages[best], min(1.0, float(row[best]))
+        limit = max(BLOCK, CELLS // len(net.languages))
+        for start, end in cuts(sizes, limit):
+            if sizes[start] > limit:  # one text
+                mean = sum(classify(net, _TABLES["tables"], parts[start][k:k + limit]).sum(0, dtype=np.float64)
+                           for k in range(0, sizes[start], limit))[None]
+            else:
+                prob = classify(net, _TABLES["tables"], np.concatenate(parts[start:end]))
+                firsts = np.concatenate(([0], np.cumsum(sizes[start:end])[:-1]))
+                mean = np.add.reduceat(prob, firsts, axis=0, dtype=np.float64)
+            mean /= sizes[start:end, None]
+            for i, row in zip(lettered[start:end], mean):
+                best = int(row.argmax())
+                names[i], scores[i] = net.languages[best], min(1.0, float(row[best]))
         return [names, scores]
 
     return map_texts(docs, text, carry, compute, "lang_pred string, score double")

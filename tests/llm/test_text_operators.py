@@ -270,3 +270,11 @@ def test_sample_counts_texts_not_rows(spark):
     got = language_id.sample(df, size=20)
     assert {k: sum(name == k for name, _ in got) for k in ("en", "fr")} == {"en": 10, "fr": 10}
     assert len(set(got)) == 20 and got == language_id.sample(df.repartition(7), size=20)
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, f"l{i % 260:03d} " * 10 + str(i // 260), f"l{i % 260:03d}") for i in range(260 * 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.sample(df, size=260)
+    assert len({name for name, _ in got}) == 260
+    assert language_id.train(got, steps=1).languages == [f"l{i:03d}" for i in range(260)]
