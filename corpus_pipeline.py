@@ -31,7 +31,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every component of similar ones."""
+    """Keep the document with the smallest id of every component of similar ones, as query op5 links them.
+
+    Similar means op5's contract, 4 words and 0.85, so that the stage and the query agree; not 5 words and 0.8.
+    """
     return jaccard_join.keep_one_each(docs)
 
 
