@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
     chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, oracles, quality_rules, secret_scan,
-    sentence_pieces, token_counts,
+    sentence_pieces, token_counts, vantage_trees,
 )
 from clickloom.llm.registry import query
 
@@ -79,6 +79,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(marked, net, carry=["doc_id", "held_out"])
 
 
+@query("op13_vantage_trees")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vantage_trees.nearest(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
