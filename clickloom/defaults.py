@@ -60,11 +60,13 @@ FEATURE_GROUPS = [
 MISSING_FLAGS = {
     "feat_a_all_missing": [f"feat_a_{i}" for i in range(1, 19)],
     "feat_e_3_missing": ["feat_e_3"],
-    "other_all_missing": [f"l_feat_{i}" for i in (2, 8, 18, 19, 20, 21, 22, 23, 24)],
+    "other_all_missing": [
+        "l_feat_2", "l_feat_8", "l_feat_18", "l_feat_19", "l_feat_20", "l_feat_21", "l_feat_22", "l_feat_23", "l_feat_24",
+    ],
 }
 COLLINEAR = [
-    *[f"history_b_{i}" for i in (3, 4, 5, 16, 18, 21, 24)],
-    *[f"l_feat_{i}" for i in (16, 17, 20, 23)],
+    "history_b_3", "history_b_4", "history_b_5", "history_b_16", "history_b_18", "history_b_21", "history_b_24",
+    "l_feat_16", "l_feat_17", "l_feat_20", "l_feat_23",
 ]
 
 STRATA = ["inventory_id", "day_of_week", "hour", "device"]
