@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
     chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, oracles, quality_rules, secret_scan,
-    sentence_pieces, token_counts, vantage_trees,
+    sentence_pieces, token_alignment, token_counts, vantage_trees,
 )
 from clickloom.llm.registry import query
 
@@ -79,6 +79,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(marked, net, carry=["doc_id", "held_out"])
 
 
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op13_vantage_trees")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
