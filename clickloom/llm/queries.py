@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
     chat_format, decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, oracles, quality_rules, secret_scan,
-    sentence_pieces, token_alignment, token_counts, vantage_trees,
+    sentence_pieces, spelling_variants, token_alignment, token_counts, vantage_trees,
 )
 from clickloom.llm.registry import query
 
@@ -79,6 +79,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(marked, net, carry=["doc_id", "held_out"])
 
 
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.word_counts(table(spark, sf_dir, "documents")))
+
+
 @query("op12_token_alignment")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
