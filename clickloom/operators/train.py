@@ -7,14 +7,19 @@ import math
 import random
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark import inheritable_thread_target
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import drop_columns, numeric_columns
 from clickloom.functions.keys import draw, draw_bucket, hash_fold, hash_split
+from clickloom.operators.boosting import Bins, Boosting, Progress, best_round, classifier  # noqa: F401
 from clickloom.operators.calibrate import probability
 from clickloom.operators.metrics import metric_bundle
 from clickloom.session import use_checkpoint_dir
@@ -83,46 +88,23 @@ class AssemblerModel:
 
 @dataclass(frozen=True)
 class BoostParams:
-    """The tunable parameters, with the closest Spark ML counterpart of each."""
-
-    learning_rate: float = 0.05     # stepSize
-    max_depth: int = 6              # about 64 leaves
-    min_data_in_leaf: int = 500     # minInstancesPerNode
-    feature_fraction: float = 0.9   # featureSubsetStrategy
-    bagging_fraction: float = 0.8   # subsamplingRate
-    min_gain_to_split: float = 0.0  # minInfoGain
-    rounds: int = 300               # maxIter
-    patience: int = 50              # rounds without a better held-out loss before the rest is given up
+    """The tunable parameters.  Gains and penalties are in units of the summed log-loss and its Hessian."""
+
+    learning_rate: float = 0.05
+    num_leaves: int = 64
+    max_depth: int = 6
+    min_data_in_leaf: int = 500
+    feature_fraction: float = 0.9   # of the features, drawn for each tree
+    bagging_fraction: float = 0.8   # of the rows, drawn by a hash of their keys
+    bagging_freq: int = 1           # rounds that a drawn bag is kept for
+    lambda_l1: float = 0.0
+    lambda_l2: float = 0.0
+    min_gain_to_split: float = 0.0
+    rounds: int = 300
+    patience: int = 50              # rounds without a better held-out loss before a fold stops
     max_bins: int = 64
     seed: int = d.SEED
 
-    def estimator(self, label: str, weight: str | None) -> GBTClassifier:
-        gbt = GBTClassifier(
-            featuresCol="features", labelCol=label, stepSize=self.learning_rate, maxDepth=self.max_depth,
-            minInstancesPerNode=self.min_data_in_leaf, featureSubsetStrategy=str(self.feature_fraction),
-            subsamplingRate=self.bagging_fraction, minInfoGain=self.min_gain_to_split, maxIter=self.rounds,
-            maxBins=self.max_bins, seed=self.seed)
-        return gbt.setWeightCol(weight) if weight else gbt
-
-    def fit(self, data: DataFrame, held: str, label: str, weight: str | None = None) -> GBTClassificationModel:
-        """Boost on the rows that are not held out; keep the trees up to the best held-out loss."""
-        model = self.estimator(label, weight).fit(data.where(~F.col(held)))
-        losses = model.evaluateEachIteration(data.where(held))
-        return first_trees(model, best_round(losses, self.patience))
-
-
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """The number of rounds with the smallest loss, looking ``patience`` rounds beyond the best so far."""
-    if not any(map(math.isfinite, losses)):
-        return len(losses)  # nothing is held out
-    best, at = math.inf, 0
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            break
-    return at + 1
-
 
 def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
     """The model cut to its first ``n`` trees."""
@@ -147,9 +129,10 @@ class FoldModels:
     assembler: AssemblerModel
     oof: DataFrame | None = None
     kept: DataFrame | None = None
+    progress: list[Progress] = field(default_factory=list)
 
     def release(self) -> None:
-        """Drop the persisted features; the models stay."""
+        """Drop the persisted bins; the models stay."""
         if self.kept is not None:
             self.kept.unpersist()
 
@@ -182,47 +165,93 @@ def load_models(spark: SparkSession, path: str, folds: int = d.FOLDS) -> FoldMod
     return FoldModels([GBTClassificationModel.load(f"{path}/fold_{i}") for i in range(1, folds + 1)], assembler)
 
 
+@dataclass
+class Binned:
+    """The table that all folds, and all trials of a search, share: key, label, fold or hold-out, weight, bin numbers."""
+
+    table: DataFrame
+    bins: Bins
+    assembler: AssemblerModel
+    key: str
+    label: str
+    weight: str | None
+    split: str
+
+    def _half(self, progress: Progress, params: BoostParams, rows: DataFrame) -> DataFrame:
+        """Rows scored by a fold's trees up to its best round."""
+        spark, n = rows.sparkSession, len(self.bins.cuts)
+        model = classifier(spark, progress, Bins([[] for _ in range(n)]), params, binned=True)
+        return model.transform(rows.withColumn("features", array_to_vector(F.col("bins").cast("array<double>"))))
+
+    def held_scores(self, progress: Sequence[Progress], params: BoostParams) -> DataFrame:
+        """Key, label, fold and ``raw_pred`` of every row, by the model that did not see it."""
+        parts = []
+        for k, made in enumerate(progress):
+            held = self._half(made, params, self.table.where(F.col(self.split) == k))
+            parts.append(held.select(self.key, F.col(self.label).cast("int").alias(self.label),
+                                     F.col(self.split).alias("fold"), probability().alias("raw_pred")))
+        return reduce(DataFrame.unionByName, parts)
+
+    def boost(self, params: BoostParams, splits: Sequence[int], rounds: int | None = None,
+              progress: Sequence[Progress] | None = None, parallel: int = 4) -> list[Progress]:
+        """The folds' rounds, several folds at a time; each goes on from its ``progress``."""
+        progress = progress or [Progress() for _ in splits]
+
+        def one(k: int, made: Progress) -> Progress:
+            return Boosting(self.table, F.col(self.split) == k, len(self.bins.cuts), params, self.key, self.label,
+                            self.weight, made).run(params.rounds if rounds is None else rounds)
+
+        pool = ThreadPool(max(1, min(parallel, len(splits))))
+        try:
+            run = inheritable_thread_target(self.table.sparkSession)(one)
+            return pool.starmap(run, zip(splits, progress))
+        finally:
+            pool.close()
+
+    def models(self, progress: Sequence[Progress], params: BoostParams) -> list[GBTClassificationModel]:
+        return [classifier(self.table.sparkSession, p, self.bins, params) for p in progress]
+
+
+def binned(df: DataFrame, split: str, max_bins: int, label: str = d.LABEL, key: str = d.ROW_KEY,
+           weight: str | None = None, columns: Sequence[str] | None = None) -> Binned:
+    """Assemble and bin the features once; the table is persisted until it is released."""
+    use_checkpoint_dir(df.sparkSession)  # boosting writes its margins there
+    exclude = (label, key, d.TEST_ID, split, *([weight] if weight else []))
+    assembler = FeatureAssembler(exclude).fit(df, columns)
+    names = [key, label, split, *([weight] if weight else [])]
+    data = assembler.transform(df, names).withColumn(label, F.col(label).cast("double"))
+    bins = Bins.fit(data, "features", len(assembler.feature_names), max_bins)
+    table = data.select(*names, bins.number("features").alias("bins")).persist()
+    table.count()  # before several folds read it at once
+    return Binned(table, bins, assembler, key, label, weight, split)
+
+
 def train_folds(df: DataFrame, params: BoostParams = BoostParams(), folds: int = d.FOLDS, label: str = d.LABEL,
                 key: str = d.ROW_KEY, weight: str | None = None, fold: str | None = None,
                 columns: Sequence[str] | None = None, seed: int = d.SEED) -> FoldModels:
-    """One boosted model per held-out fold, cut at its best round there; ``oof`` holds the held-out scores.
+    """One boosted model per held-out fold, up to its best round there; ``oof`` holds the held-out scores.
 
     ``fold`` names a column with fold numbers, such as :func:`stratified_folds` adds; without it the folds are drawn by
-    a hash.  The assembled features are persisted once, shared by all folds and released with :meth:`FoldModels.release`;
-    each fit runs on the executors.
+    a hash.  The binned features are persisted once, shared by all folds and released with :meth:`FoldModels.release`.
     """
-    use_checkpoint_dir(df.sparkSession)  # long boosting runs cut their lineage there
-    exclude = (label, key, d.TEST_ID, *([weight] if weight else []), *([fold] if fold else []))
-    assembler = FeatureAssembler(exclude).fit(df, columns)
     if fold is None:
         fold = "_fold"
         df = df.withColumn(fold, hash_fold(key, folds, seed))
-    keep = [key, label, fold, *([weight] if weight else [])]
-    data = assembler.transform(df, keep).withColumn(label, F.col(label).cast("double")).persist()
-    models, parts = [], []
-    for k in range(folds):
-        model = params.fit(data.withColumn("_held", F.col(fold) == k), "_held", label, weight)
-        models.append(model)
-        held = model.transform(data.where(F.col(fold) == k))
-        parts.append(held.select(key, F.col(label).cast("int").alias(label), F.col(fold).alias("fold"),
-                                 probability().alias("raw_pred")))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    return FoldModels(models, assembler, oof, data)
+    data = binned(df, fold, params.max_bins, label, key, weight, columns)
+    progress = data.boost(params, range(folds))
+    return FoldModels(data.models(progress, params), data.assembler, data.held_scores(progress, params), data.table,
+                      progress)
 
 
 def train_holdout(df: DataFrame, params: BoostParams = BoostParams(learning_rate=0.1, max_depth=5, rounds=1000),
                   label: str = d.LABEL, key: str = d.ROW_KEY, share: float = 0.2,
                   seed: int = d.SEED) -> tuple[FoldModels, DataFrame]:
     """One model with a random held-out share; returns it with the scores of that share."""
-    assembler = FeatureAssembler((label, key, d.TEST_ID)).fit(df)
-    keyed = df.withColumn("_held", hash_split(key, share, seed))
-    data = assembler.transform(keyed, [key, label, "_held"]).withColumn(label, F.col(label).cast("double")).persist()
-    model = params.fit(data, "_held", label)
-    held = model.transform(data.where("_held"))
-    scores = held.select(key, F.col(label).cast("int").alias(label), probability().alias("raw_pred"))
-    return FoldModels([model], assembler, kept=data), scores
+    keyed = df.withColumn("_held", F.when(hash_split(key, share, seed), 0).otherwise(1))
+    data = binned(keyed, "_held", params.max_bins, label, key)
+    progress = data.boost(params, [0])
+    scores = data.held_scores(progress, params).drop("fold")
+    return FoldModels(data.models(progress, params), data.assembler, kept=data.table, progress=progress), scores
 
 
 def oof_metrics(oof: DataFrame, label: str = d.LABEL) -> DataFrame:
@@ -284,37 +313,47 @@ def permutation_importance(models: FoldModels, df: DataFrame, columns: Sequence[
         F.avg("drop").alias("mean_importance"), F.stddev_pop("drop").alias("std_importance"))
 
 
+# fixed values: the nine dimensions of the search, with their ranges and steps
 SEARCH_SPACE: Mapping[str, tuple] = {
     "learning_rate": ("log", 0.01, 0.2),
-    "max_depth": ("int", 4, 8),
-    "min_data_in_leaf": ("int", 100, 2000),
+    "num_leaves": ("int", 32, 512, 32),
+    "min_data_in_leaf": ("int", 100, 2000, 100),
     "feature_fraction": ("float", 0.6, 1.0),
     "bagging_fraction": ("float", 0.6, 1.0),
+    "bagging_freq": ("int", 1, 7),
+    "lambda_l1": ("log", 1e-3, 10.0),
+    "lambda_l2": ("log", 1e-3, 10.0),
     "min_gain_to_split": ("float", 0.0, 1.0),
-    "max_bins": ("int", 32, 128),
 }
 
 
 def trial_params(base: BoostParams, trial: int, seed: int = d.SEED,
                  space: Mapping[str, tuple] = SEARCH_SPACE) -> BoostParams:
-    """Parameters of one trial, a function of (seed, trial) so that a search can be resumed."""
+    """Parameters of one trial, a function of (seed, trial) so that a search can be resumed.
+
+    Trees are grown deep enough for the drawn number of leaves.
+    """
     rng = random.Random(f"{seed}|{trial}")
     drawn = {}
-    for name, (kind, low, high) in space.items():
+    for name, (kind, low, high, *step) in space.items():
         if kind == "log":
             drawn[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
         elif kind == "int":
-            drawn[name] = rng.randint(low, high)
+            drawn[name] = rng.randrange(low, high + 1, *step)
         else:
             drawn[name] = rng.uniform(low, high)
+    if "num_leaves" in drawn and "max_depth" not in drawn:
+        drawn["max_depth"] = max(base.max_depth, math.ceil(math.log2(drawn["num_leaves"])) + 1)
     return replace(base, **drawn)
 
 
 @dataclass
 class Search:
-    """Seeded random search that maximises the blended held-out score.
+    """Seeded random search that maximises the blended held-out score, by successive halving.
 
-    Every finished trial is appended to a Parquet table under ``path``; a restarted search skips them.
+    All trials run for a few rounds; of each rung the best one in ``eta`` goes on, from its own trees, to ``eta`` times
+    the rounds, the last rung to all of them.  Fewer than ``eta`` trials make a single rung.  Every finished (trial,
+    rounds) is appended with its trees to a Parquet table under ``path``; a restarted search skips them and goes on.
     """
 
     path: str
@@ -324,8 +363,10 @@ class Search:
     folds: int = d.FOLDS
     seed: int = d.SEED
     space: Mapping[str, tuple] = field(default_factory=lambda: dict(SEARCH_SPACE))
+    eta: int = 3
 
-    _SCHEMA = "study string, trial int, params map<string,double>, ap double, logloss double, wll double, score double"
+    _SCHEMA = ("study string, trial int, rounds int, params map<string,double>, ap double, logloss double, wll double, "
+               "score double, progress array<string>")
 
     def history(self, spark) -> DataFrame:
         try:
@@ -336,19 +377,55 @@ class Search:
             return spark.createDataFrame([], self._SCHEMA)
         return found.where(F.col("study") == self.study)
 
-    def run(self, df: DataFrame, **train_options) -> BoostParams:
+    def rungs(self) -> list[tuple[int, int]]:
+        """(trials, rounds) of every rung."""
+        steps = 0
+        while self.eta ** (steps + 1) <= self.trials:
+            steps += 1
+        return [(max(1, self.trials // self.eta ** j), max(1, self.base.rounds // self.eta ** (steps - j)))
+                for j in range(steps + 1)]
+
+    def run(self, df: DataFrame, label: str = d.LABEL, key: str = d.ROW_KEY, weight: str | None = None,
+            fold: str | None = None, columns: Sequence[str] | None = None) -> BoostParams:
         spark = df.sparkSession
-        done = {r["trial"] for r in self.history(spark).select("trial").collect()}
-        for trial in range(self.trials):
-            if trial in done:
-                continue
-            params = trial_params(self.base, trial, self.seed, self.space)
-            fitted = train_folds(df, params, self.folds, seed=self.seed, **train_options)
-            row = metric_bundle(fitted.oof, train_options.get("label", d.LABEL), "raw_pred").first()
-            fitted.release()
-            numbers = {k: float(v) for k, v in asdict(params).items()}
-            spark.createDataFrame(
-                [(self.study, trial, numbers, row["ap"], row["logloss"], row["wll"], row["score"])], self._SCHEMA,
-            ).coalesce(1).write.mode("append").parquet(self.path)
-        best = self.history(spark).orderBy(F.desc("score"), "trial").first()
-        return trial_params(self.base, best["trial"], self.seed, self.space)
+        if fold is None:
+            fold = "_fold"
+            df = df.withColumn(fold, hash_fold(key, self.folds, self.seed))
+        shared: dict[int, Binned] = {}
+        chosen, before = list(range(self.trials)), None
+        for n, rounds in self.rungs():
+            if before is not None:
+                chosen = self._ranked(spark, before, chosen)[:n]
+            done = {r["trial"] for r in self._rung(spark, rounds).select("trial").collect()}
+            for trial in chosen:
+                if trial in done:
+                    continue
+                params = trial_params(self.base, trial, self.seed, self.space)
+                if params.max_bins not in shared:
+                    shared[params.max_bins] = binned(df, fold, params.max_bins, label, key, weight, columns)
+                self._go_on(shared[params.max_bins], params, trial, rounds, before)
+            before = rounds
+        for data in shared.values():
+            data.table.unpersist()
+        return trial_params(self.base, self._ranked(spark, before, chosen)[0], self.seed, self.space)
+
+    def _rung(self, spark, rounds: int) -> DataFrame:
+        return self.history(spark).where(F.col("rounds") == rounds)
+
+    def _ranked(self, spark, rounds: int, trials: Sequence[int]) -> list[int]:
+        rows = self._rung(spark, rounds).where(F.col("trial").isin(list(trials))).select("trial", "score")
+        return [r["trial"] for r in rows.orderBy(F.desc("score"), "trial").collect()]
+
+    def _go_on(self, data: Binned, params: BoostParams, trial: int, rounds: int, before: int | None) -> None:
+        """Bring a trial to ``rounds`` and log it."""
+        spark = data.table.sparkSession
+        progress = None
+        if before is not None:
+            row = self._rung(spark, before).where(F.col("trial") == trial).select("progress").first()
+            progress = [Progress.from_json(p) for p in row["progress"]]
+        progress = data.boost(params, range(self.folds), rounds, progress)
+        row = metric_bundle(data.held_scores(progress, params), data.label, "raw_pred").first()
+        spark.createDataFrame(
+            [(self.study, trial, rounds, {k: float(v) for k, v in asdict(params).items()}, row["ap"], row["logloss"],
+              row["wll"], row["score"], [p.to_json() for p in progress])], self._SCHEMA,
+        ).coalesce(1).write.mode("append").parquet(self.path)
