@@ -356,13 +356,16 @@ o{i} AS (SELECT v, y, coalesce(n, 0) AS n FROM (SELECT DISTINCT CAST({c} AS VARC
   CROSS JOIN (SELECT unnest([0, 1]) AS y) LEFT JOIN
   (SELECT CAST({c} AS VARCHAR) AS v, clicked AS y, count(*) AS n FROM imp GROUP BY 1, 2) USING (v, y)),
 e{i} AS (SELECT n, sum(n) OVER (PARTITION BY v) * sum(n) OVER (PARTITION BY y) / (sum(n) OVER ())::DOUBLE AS e FROM o{i})"""
-    for i, c in enumerate(_chi)) + " " + " UNION ALL ".join(f"""
-SELECT '{c}' AS feature, round(sum((n - e) * (n - e) / e), 6) AS statistic, count(*) // 2 - 1 AS degrees FROM e{i}"""
-    for i, c in enumerate(_chi)))
+    for i, c in enumerate(_chi)) + ", t AS (" + " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, sum((n - e) * (n - e) / e) AS s, count(*) // 2 - 1 AS d FROM e{i}"""
+    for i, c in enumerate(_chi)) + """)
+SELECT feature, round(s, 6) AS statistic, d AS degrees, round(1 - list_sum(list_transform(range(0, 400), lambda k:
+  exp((d / 2.0::DOUBLE + k) * ln(s / 2) - s / 2 - lgamma(d / 2.0::DOUBLE + k + 1)))), 9) AS p_value FROM t""")
 def chi_square(spark, sf):
     from clickloom.operators.correlation import chi_square as run
 
-    return run(events(spark, sf), _chi).select("feature", r6("statistic"), "degrees")
+    return run(events(spark, sf), _chi).select("feature", r6("statistic"), "degrees",
+                                               F.round("p_value", 9).alias("p_value"))
 
 
 # ---------------------------------------------------------------- encodings

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import feature_group, trailing_index
+from clickloom.functions.special import chi_square_tail
 from clickloom.session import Scratch
 
 def _within_one(r: Column) -> Column:
@@ -373,9 +374,10 @@ def group_counts(spark, columns: Iterable[str], groups: Sequence[str] = d.FEATUR
 
 
 def chi_square(df: DataFrame, columns: Sequence[str], label: str = d.LABEL) -> DataFrame:
-    """M4: chi-square statistic of each categorical column against a 0/1 label; nulls are left out.
+    """M4: chi-square test of each categorical column against a 0/1 label; nulls are left out.
 
-    One scan: counts per (column, value), then ``N * (sum o1^2/(R*C1) + sum o0^2/(R*C0) - 1)`` per column.
+    One scan: counts per (column, value), then ``N * (sum o1^2/(R*C1) + sum o0^2/(R*C0) - 1)`` per column, its degrees of
+    freedom and the chance of a larger value.
     """
     long = df.select(F.col(label).cast("bigint").alias("_y"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("_v")) for c in columns])))
@@ -386,5 +388,7 @@ def chi_square(df: DataFrame, columns: Sequence[str], label: str = d.LABEL) -> D
         F.sum("r").alias("n"), F.sum("o1").alias("c1"), F.sum(o0).alias("c0"),
         F.sum(F.col("o1") * F.col("o1") / F.col("r")).alias("a1"), F.sum(o0 * o0 / F.col("r")).alias("a0"),
         F.count("*").alias("values"))
-    return sums.select("feature", (F.col("n") * (F.try_divide("a1", "c1") + F.try_divide("a0", "c0") - 1)).alias("statistic"),
-                       (F.col("values") - 1).alias("degrees"))
+    tests = sums.select(
+        "feature", (F.col("n") * (F.try_divide("a1", "c1") + F.try_divide("a0", "c0") - 1)).alias("statistic"),
+        (F.col("values") - 1).alias("degrees"))
+    return tests.withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("degrees")))

@@ -150,11 +150,12 @@ def test_chi_square_equals_the_ml_test(spark, sf):
     from pyspark.ml.stat import ChiSquareTest
 
     df = imp.impressions(spark, sf).withColumn("h", F.col("hour").cast("int")).where("gender is not null")
-    ours = {r["feature"]: (r["statistic"], r["degrees"]) for r in C.chi_square(df, ["gender", "h"]).collect()}
+    ours = {r["feature"]: (r["statistic"], r["degrees"], r["p_value"]) for r in C.chi_square(df, ["gender", "h"]).collect()}
     x = VectorAssembler(inputCols=["gender", "h"], outputCol="v").transform(df)
     ml = ChiSquareTest.test(x, "v", "clicked").first()
     assert [ours["gender"][0], ours["h"][0]] == pytest.approx(list(ml["statistics"]))
     assert [ours["gender"][1], ours["h"][1]] == list(ml["degreesOfFreedom"])
+    assert [ours["gender"][2], ours["h"][2]] == pytest.approx(list(ml["pValues"]), abs=1e-9)
 
 
 def test_report(spark, sf):
