@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.regression import IsotonicRegressionModel
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.operators.metrics import by_stage, metric_bundle
-from clickloom.session import measure
+from clickloom.operators.order_stats import MOST_RANGES, cut_points, running_sums, with_range
+from clickloom.session import ONE_TASK_ROWS, Scratch, measure
 
 
 def temperature(score: Column, t: float = d.TEMPERATURE) -> Column:
@@ -21,6 +24,74 @@ def temperature(score: Column, t: float = d.TEMPERATURE) -> Column:
     return F.coalesce(1 / (1 + F.exp(-F.ln(inner / (1 - inner)) / F.lit(float(t)))), score)
 
 
+def lower_hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The places of the vertices of the lower convex hull of points sorted by x, without points on its edges."""
+    kept: list[int] = []
+    for i in range(len(x)):
+        while len(kept) > 1:
+            a, b = kept[-2], kept[-1]
+            # the middle point stays only if it lies below the line between its neighbours
+            if (y[b] - y[a]) * (x[i] - x[b]) < (y[i] - y[b]) * (x[b] - x[a]):
+                break
+            kept.pop()
+        kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def _hull_of(group: pd.DataFrame) -> pd.DataFrame:
+    group = group.sort_values("x", ignore_index=True)
+    return group.iloc[lower_hull(group["x"].to_numpy(), group["y"].to_numpy())]
+
+
+def isotonic_levels(cells: DataFrame, one_task_rows: int = ONE_TASK_ROWS, fan_in: int = 16) -> DataFrame:
+    """The levels of the isotonic fit, as rows ``low, high, level`` (scores from low to high).
+
+    ``cells`` has distinct ``_s`` with the sum of their labels ``_y`` and their rows ``_w``.  The fit is the slopes of
+    the lower convex hull of the cumulative sums (rows, labels).  Each range of scores keeps its own hull; hulls of
+    ``fan_in`` neighbouring ranges merge, level by level, into the hull of all.  With integer labels a hull of n rows has
+    at most about n^(2/3) vertices, so the last merge is small whatever the scores are; a range holds about
+    ``one_task_rows`` scores.
+    """
+    scratch = Scratch(cells.sparkSession)
+    points = scratch.keep(cells.select(F.col("_s").alias("s"), F.col("_y").cast("double").alias("c"),
+                                       F.col("_w").cast("double").alias("n")))
+    count, groups = points.count(), 1
+    cut = points.withColumn("s_range", F.lit(0))
+    if count > one_task_rows:
+        cuts = cut_points(points, ["s"], max(2, min(MOST_RANGES, -(-count // one_task_rows))))
+        cut, groups = with_range(points, cuts), len(cuts["s"]) + 1
+    upto = scratch.keep(running_sums(cut, "s_range", [F.col("s").asc()], {"x": "n", "y": "c"}))
+    # every point ends the scores up to it; the hull begins before the smallest one
+    schema = "g int, x double, y double, s double"
+    hull = upto.select(F.col("s_range").alias("g"), "x", "y", "s").unionByName(
+        cells.sparkSession.createDataFrame([(0, 0.0, 0.0, None)], schema))
+    while True:
+        hull = scratch.keep(hull.groupBy("g").applyInPandas(_hull_of, schema))
+        if groups == 1:
+            break
+        groups = -(-groups // fan_in)
+        hull = hull.withColumn("g", F.floor(F.col("g") / fan_in).cast("int"))
+    order = Window.partitionBy("g").orderBy("x")  # the vertices of one hull
+    edges = hull.withColumns({"px": F.lag("x").over(order), "py": F.lag("y").over(order)}).where("px is not null")
+    # a level begins with the score that has as many rows before it as the vertex
+    starts = upto.select((F.col("x") - F.col("n")).alias("px"), F.col("s").alias("low"))
+    return edges.join(starts, "px").select("low", F.col("s").alias("high"), (
+        (F.col("y") - F.col("py")) / (F.col("x") - F.col("px"))).alias("level"))
+
+
+def _isotonic_model(spark, levels: DataFrame) -> IsotonicRegressionModel:
+    """Spark ML's model of the levels: two boundaries per level, one where it covers a single score."""
+    rows = levels.orderBy("low").collect()
+    bounds = [(x, r["level"]) for r in rows for x in dict.fromkeys((r["low"], r["high"]))]
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    x, y = (gateway.new_array(gateway.jvm.double, len(bounds)) for _ in range(2))
+    for i, (a, b) in enumerate(bounds):
+        x[i], y[i] = float(a), float(b)
+    old = jvm.org.apache.spark.mllib.regression.IsotonicRegressionModel(x, y, True)
+    model = IsotonicRegressionModel(jvm.org.apache.spark.ml.regression.IsotonicRegressionModel("isotonic", old))
+    return model.setFeaturesCol("_s")
+
+
 @dataclass
 class Calibrator:
     """Platt and isotonic calibration, fitted on distinct (score, label) cells instead of rows."""
@@ -38,10 +109,9 @@ class Calibrator:
         platt = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", regParam=1.0 / n,
                                    elasticNetParam=0.0, standardization=False, maxIter=self.max_iter,
                                    tol=1e-10).fit(assembled)
-        # ties are averaged first, as isotonic regression needs one target per score
-        points = cells.df.groupBy("_s").agg(
-            (F.sum(F.col("_y") * F.col("_w")) / F.sum("_w")).alias("_m"), F.sum("_w").alias("_w"))
-        isotonic = IsotonicRegression(featuresCol="_s", labelCol="_m", weightCol="_w").fit(points)
+        # ties are one point, as isotonic regression needs one target per score
+        points = cells.df.groupBy("_s").agg(F.sum(F.col("_y") * F.col("_w")).alias("_y"), F.sum("_w").alias("_w"))
+        isotonic = _isotonic_model(df.sparkSession, isotonic_levels(points))
         cells.release()
         return CalibrationModel(self, platt, isotonic)
 

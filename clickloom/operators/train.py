@@ -5,21 +5,25 @@ from __future__ import annotations
 import json
 import math
 import random
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.columns import drop_columns, numeric_columns
 from clickloom.functions.keys import draw, draw_bucket, hash_fold, hash_split
-from clickloom.operators.boosting import Bins, Boosting, Progress, best_round, classifier  # noqa: F401
+from clickloom.operators.boosting import (  # noqa: F401
+    Bins, Boosting, Progress, Tree, best_round, classifier, read_tree,
+)
 from clickloom.operators.calibrate import probability
 from clickloom.operators.metrics import metric_bundle
 from clickloom.session import use_checkpoint_dir
@@ -297,19 +301,67 @@ def shuffled(df: DataFrame, column: str, key: str = d.ROW_KEY, seed: int = d.SEE
     return dealt.withColumn(column, moved).drop("_slot", "_draw")
 
 
-def permutation_importance(models: FoldModels, df: DataFrame, columns: Sequence[str], repeats: int = 2,
+def _margins(models: Sequence[GBTClassificationModel]) -> list[list[tuple[float, Tree]]]:
+    """Every model's trees as flat arrays with their weights."""
+    return [[(float(w), read_tree(t.toDebugString)) for w, t in zip(m.treeWeights, m.trees)] for m in models]
+
+
+def permuted_scores(models: FoldModels, df: DataFrame, columns: Sequence[str] | None = None, label: str = d.LABEL,
+                    key: str = d.ROW_KEY, seed: int = d.SEED, base: bool = False,
+                    slot_rows: int = 100_000) -> DataFrame:
+    """``feature, label, raw_pred``: every row once per column, scored with the column's value of the row's successor in a
+    random cyclic order; with ``base`` also as it is, as feature ``""``.
+
+    The successor brings all of its features at once, so the rows are shuffled and read once for all columns.  A batch
+    evaluates its trees once, and for each column only those that use it.  A column that no tree uses has the plain score.
+    """
+    names = models.assembler.feature_names
+    chosen = list(models.assembler.columns if columns is None else columns)
+    places = {c: [i for i, n in enumerate(names) if n in (c, f"{c}_isnull")] for c in chosen}
+    rows = models.assembler.transform(df, [key, label]).withColumn("_other", F.col("features"))
+    moved = shuffled(rows, "_other", key, seed, slot_rows=slot_rows).select(
+        F.col(label).cast("int").alias("y"), vector_to_array("features").alias("x"),
+        vector_to_array("_other").alias("o"))
+    forests = _margins(models.models)
+    trees = [(m, w, t, set(t.feature) - {-1}) for m, forest in enumerate(forests) for w, t in forest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, o = (batch.column(i).flatten().to_numpy().reshape(len(batch), -1) for i in (1, 2))
+            parts = np.zeros((len(trees), len(batch)))
+            for i, (_, w, tree, _) in enumerate(trees):
+                parts[i] = w * tree.predict(x)
+
+            def score(rows: np.ndarray, used: set[int] | None) -> np.ndarray:
+                margins = np.zeros((len(forests), len(batch)))
+                for i, (m, w, tree, uses) in enumerate(trees):
+                    margins[m] += parts[i] if used is None or not uses & used else w * tree.predict(rows)
+                return (1 / (1 + np.exp(-2 * margins))).sum(axis=0) / len(forests)
+
+            plain = score(x, None)
+            for name in ([""] if base else []) + chosen:
+                used = set(places.get(name, ()))
+                swapped = x.copy() if used else x
+                for i in used:
+                    swapped[:, i] = o[:, i]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(batch)), batch.column(0),
+                                                  pa.array(score(swapped, used) if used else plain)],
+                                                 names=["feature", "y", "raw_pred"])
+
+    return moved.mapInArrow(run, "feature string, y int, raw_pred double").toDF("feature", label, "raw_pred")
+
+
+def permutation_importance(models: FoldModels, df: DataFrame, columns: Sequence[str] | None = None, repeats: int = 2,
                            label: str = d.LABEL, key: str = d.ROW_KEY, seed: int = d.SEED) -> DataFrame:
-    """M7: mean and standard deviation of the blended-score drop when a column is shuffled."""
-    rows = df.count()
-    long = models.score(df, [label]).withColumns({"feature": F.lit("")})
-    long = long.withColumn("round", F.lit(-1))
-    for c in columns:
-        for r in range(repeats):
-            part = models.score(shuffled(df, c, key, seed + 2 * r, rows), [label])
-            long = long.unionByName(part.withColumns({"feature": F.lit(c), "round": F.lit(r)}))
-    scores = metric_bundle(long, label, "raw_pred", ["feature", "round"])
-    base = scores.where(F.col("round") == -1).select("score").scalar()
-    return scores.where(F.col("round") >= 0).withColumn("drop", base - F.col("score")).groupBy("feature").agg(
+    """M7: mean and standard deviation of the blended-score drop when a column is shuffled; all columns unless given."""
+    parts = [permuted_scores(models, df, columns, label, key, seed + 2 * r, base=not r).withColumn("round", F.lit(r))
+             for r in range(repeats)]
+    scores = metric_bundle(reduce(DataFrame.unionByName, parts), label, "raw_pred", ["feature", "round"])
+    base = scores.where(F.col("feature") == "").select(F.col("score").alias("_base"))
+    drops = scores.where(F.col("feature") != "").join(F.broadcast(base)).withColumn("drop", F.col("_base") - F.col("score"))
+    return drops.groupBy("feature").agg(
         F.avg("drop").alias("mean_importance"), F.stddev_pop("drop").alias("std_importance"))
 
 

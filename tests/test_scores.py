@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import metrics
 from clickloom.operators import train as T
-from clickloom.operators.calibrate import Calibrator, temperature
+from clickloom.operators.calibrate import Calibrator, isotonic_levels, temperature
 from clickloom.sources.files import write_text  # noqa: F401
 
 
@@ -120,6 +120,28 @@ def test_calibration(spark):
     assert stages["raw"]["ap"] == pytest.approx(stages["platt"]["ap"])
 
 
+@pytest.mark.parametrize("limit, fan_in", [(10**6, 16), (100, 2), (7, 3)])
+def test_isotonic_levels_from_ranges(spark, limit, fan_in):
+    rng = np.random.default_rng(4)
+    p = np.round(rng.random(3000), 3)
+    y = (rng.random(3000) < p ** 3).astype(int)
+    p[:200], y[:50] = 0.5, 1  # one heavy score
+    cells = table(spark, y, p).groupBy(F.col("score").alias("_s")).agg(F.sum("clicked").alias("_y"), F.count("*").alias("_w"))
+    rows = isotonic_levels(cells, limit, fan_in).orderBy("low").collect()
+    want = pav(list(p), list(y))
+    got = {s: r["level"] for r in rows for s in want if r["low"] <= s <= r["high"]}
+    assert got == pytest.approx(want) and sum(r["low"] <= s <= r["high"] for r in rows for s in want) == len(want)
+    levels = [r["level"] for r in rows]
+    assert levels == sorted(set(levels)) and all(a["high"] < b["low"] for a, b in zip(rows, rows[1:]))
+
+
+def test_isotonic_of_one_score_and_of_falling_labels(spark):
+    one = spark.createDataFrame([(0.5, 3, 4)], "_s double, _y long, _w long")
+    assert [tuple(r) for r in isotonic_levels(one).collect()] == [(0.5, 0.5, 0.75)]
+    fall = spark.createDataFrame([(float(i), 9 - i, 10) for i in range(10)], "_s double, _y long, _w long")
+    assert [tuple(r) for r in isotonic_levels(fall, 3, 2).collect()] == [(0.0, 9.0, 0.45)]
+
+
 PARAMS = T.BoostParams(learning_rate=0.3, max_depth=3, min_data_in_leaf=2, rounds=4, max_bins=16, bagging_fraction=1.0)
 
 
@@ -202,6 +224,48 @@ def test_importances(fitted, learnable):
     assert drops["x"] > 0.1 > abs(drops["noise"])
 
 
+def test_permutation_importance_equals_numpy(fitted, learnable):
+    """One scan per repeat; the drops follow from the trees and the ring of successors."""
+    got = {r["feature"]: (r["mean_importance"], r["std_importance"])
+           for r in T.permutation_importance(fitted, learnable, repeats=2).collect()}
+    assert set(got) == {"x", "noise"}
+    names = fitted.assembler.feature_names
+    rows = {r["row_idx"]: (r["clicked"], r["features"].toArray()) for r in
+            fitted.assembler.transform(learnable, ["row_idx", "clicked"]).collect()}
+    keys = sorted(rows)
+    y = np.array([rows[k][0] for k in keys])
+    x = np.array([rows[k][1] for k in keys])
+    forests = T._margins(fitted.models)
+
+    def blended(x):
+        p = np.mean([1 / (1 + np.exp(-2 * sum(w * t.predict(x) for w, t in f))) for f in forests], axis=0)
+        clip = np.clip(p, 1e-15, 1 - 1e-15)
+        each = -np.where(y == 1, np.log(clip), np.log(1 - clip))
+        weight = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0)
+        return 0.5 * brute_ap(y, p) + 0.5 / (1 + (each * weight).sum() / weight.sum())
+
+    drops = {c: [] for c in got}
+    for r in range(2):
+        moved = {v["row_idx"]: v["other"] for v in T.shuffled(learnable.withColumn("other", F.col("row_idx")), "other",
+                                                               seed=42 + 2 * r).collect()}
+        at = [keys.index(moved[k]) for k in keys]
+        for c in drops:
+            swapped = x.copy()
+            for i, n in enumerate(names):
+                if n in (c, f"{c}_isnull"):
+                    swapped[:, i] = x[at, i]
+            drops[c].append(blended(x) - blended(swapped))
+    for c, values in drops.items():
+        assert got[c] == pytest.approx((np.mean(values), np.std(values)), abs=1e-9)
+
+
+def test_all_columns_are_permuted_in_one_scan(spark, fitted, learnable, tmp_path):
+    learnable.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plan = T.permuted_scores(fitted, rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("FileScan") == 1
+
+
 def test_shuffling_keeps_the_values(learnable):
     for slot_rows in (100, 10**6):
         out = T.shuffled(learnable, "x", slot_rows=slot_rows)
