@@ -38,7 +38,7 @@ from clickloom.session import Scratch
 FREQUENT = 1 << 17
 # An id takes so many bits of a pair; a pair of ids and the number of a text in its slice fit a bigint.
 ID_BITS = 20
-LONG_RUN = re.compile(r"\S{1024}|\s{1024}")
+LONG_RUN, LONG_SPACE = 1024, re.compile(r"\s{1024}")
 # fixed: how a byte-level vocabulary cuts a text into words
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -73,7 +73,7 @@ class ByteTokens:
         ) if ordered and plain else None
 
     def encode(self, text: str) -> list[int]:
-        if self.fast is not None and not LONG_RUN.search(text):
+        if self.fast is not None and max(map(len, text.split()), default=0) < LONG_RUN and not LONG_SPACE.search(text):
             return self.fast.encode_ordinary(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
@@ -126,8 +126,9 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, la: np.ndarray, ha: np.ndarray, lb
         cut_a, cut_b = cut_a[some], cut_b[some]
         found_a.append(cut_a)
         found_b.append(cut_b)
-        la, ha = np.concatenate([la[some], cut_a + 1]), np.concatenate([cut_a, ha[some]])
-        lb, hb = np.concatenate([lb[some], cut_b + 1]), np.concatenate([cut_b, hb[some]])
+        # halves side by side, so that the intervals stay in order
+        la, ha = np.column_stack([la[some], cut_a + 1]).ravel(), np.column_stack([cut_a, ha[some]]).ravel()
+        lb, hb = np.column_stack([lb[some], cut_b + 1]).ravel(), np.column_stack([cut_b, hb[some]]).ravel()
     if not found_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.sort(np.concatenate(found_a)), np.sort(np.concatenate(found_b))
@@ -191,9 +192,16 @@ class Aligned:
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """For every link its text and its id pair: each stretch between neighbouring ends is one A and one B token."""
-        ends = np.union1d(*self.ends)
-        at = [np.searchsorted(e, ends) for e in self.ends]
-        text = np.searchsorted(self.bounds[0], at[0], side="right") - 1
+        size = int(self.ends[0][-1]) + 1 if len(self.ends[0]) else 0
+        marks = []
+        for e in self.ends:
+            mark = np.zeros(size, bool)
+            mark[e] = True
+            marks.append(mark)
+        at_end = np.flatnonzero(marks[0] | marks[1])
+        # the token of a side that ends at or behind a byte: as many as end before it
+        at = [(np.cumsum(m) - m)[at_end] for m in marks]
+        text = np.repeat(np.arange(len(self.bounds[0]) - 1), self.count(0))[at[0]]
         return text, self.ids[0][at[0]] << ID_BITS | self.ids[1][at[1]]
 
     def digests(self) -> list[str]:
@@ -202,20 +210,20 @@ class Aligned:
         shown = np.empty((sum(n), 9), np.uint8)
         for side in (0, 1):
             here, other = self.last[side], self.last[1 - side]
-            group = np.searchsorted(here, np.arange(n[side]))
+            last = np.zeros(n[side], bool)
+            last[here] = True
+            group = np.cumsum(last) - last
             # A tokens come behind the other side's earlier groups, B tokens behind its own group's too
             ahead = np.concatenate([[0], other + 1])
             place = np.arange(n[side]) + ahead[group + side]
             rows = self.known.digits[self.ids[side]]
-            rows[:, 8] = ord(",")
-            rows[here, 8] = ord("|") if side == 0 else ord(";")
+            rows[:, 8] = np.where(last, ord(";") if side else ord("|"), ord(","))
             if side:
-                ends = self.bounds[1][1:][self.count(1) > 0] - 1
-                rows[ends, 8] = 0
+                rows[self.bounds[1][1:][self.count(1) > 0] - 1, 8] = 0
             shown[place] = rows
         kept = shown != 0
         body = memoryview(shown[kept])
-        size = np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
+        size = np.concatenate([[0], np.cumsum(np.count_nonzero(kept, axis=1))])
         at = size[self.bounds[0] + self.bounds[1]]
         return [hashlib.sha256(body[s:e]).hexdigest() if e > s else "" for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
 
