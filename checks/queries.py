@@ -672,8 +672,8 @@ def hash_folds(spark, sf):
 
 
 @query("stratified_folds", f"""WITH {S.RARE}, {S.TRAIN}
-SELECT row_idx, clicked, CAST((row_number() OVER (PARTITION BY clicked ORDER BY {S.DRAW}, row_idx) - 1) % 5 AS INTEGER) AS fold
-FROM train""")
+SELECT row_idx, clicked, CAST((row_number() OVER (PARTITION BY clicked ORDER BY {S.DRAW}, row_idx) * 5 - 1)
+  // count(*) OVER (PARTITION BY clicked) AS INTEGER) AS fold FROM train""")
 def stratified_folds(spark, sf):
     return sampling.stratified_folds(rare_train(spark, sf)).select("row_idx", "clicked", "fold")
 

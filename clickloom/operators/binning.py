@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.missing import fill_values
-from clickloom.operators.order_stats import medians, order_statistics, value_counts
+from clickloom.operators.order_stats import nearest_rank, summarise, values_at
 
 
 def digitize(value: Column, inner: Sequence[float]) -> Column:
@@ -47,6 +47,7 @@ class QuantileBinner:
     columns: Sequence[str]
     bins: int = d.HISTORY_BINS
     fill: bool = True
+    # more than 1: look for the quantiles in ranges even where one task could sort the table
     ranges: int | None = None
 
     def quantiles(self) -> list[float]:
@@ -54,20 +55,42 @@ class QuantileBinner:
         return [i * (1.0 / bins) for i in range(bins)] + [1.0]
 
     def fit(self, df: DataFrame) -> "BinModel":
+        """Two scans: one for counts and sketches, one that reads medians and edges together.
+
+        Filled nulls stand right behind the lower half of the values, so the rank in the filled column says which value
+        it is without filling anything.
+        """
         columns = list(self.columns)
-        rows, totals = value_counts(df, columns)
-        fills = {}
-        if self.fill:
-            middle = medians(df, columns, self.ranges, totals)
-            fills = {c: middle[c] for c in columns if middle.get(c) is not None}
-            df = fill_values(df, fills)
-            totals = {c: rows if c in fills else 0 for c in columns}
-        values = order_statistics(df, {c: self.quantiles() for c in columns}, "nearest",
-                                  ranges=self.ranges, totals=totals).collect()
-        found = {c: [r["value"] for r in values if r["column"] == c] for c in columns}
-        two = [c for c in columns if len(set(found[c])) == 2]
-        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in two]).first().asDict() if two else {}
-        edges = {c: inner_edges(found[c], means.get(c)) for c in columns}
+        summary = summarise(df, columns)
+        ranks, nulls = {}, {}
+        for c in columns:
+            n = summary.counts[c]
+            nulls[c] = summary.rows - n if self.fill and n else 0
+            half = (n - 1) // 2
+            # of an even number of values both middle ones make the median
+            ranks[c] = {half, n // 2} if n else set()
+            for q in self.quantiles() if n else []:
+                rank = nearest_rank(n + nulls[c], q)
+                if rank <= half:
+                    ranks[c].add(rank)
+                elif rank > half + nulls[c]:
+                    ranks[c].add(rank - nulls[c])
+        values = values_at(df, ranks, summary, always=(self.ranges or 1) > 1)
+        summary.release()
+        fills, edges = {}, {}
+        for c in columns:
+            n = summary.counts[c]
+            if not n:
+                edges[c] = [0.0]
+                continue
+            half = (n - 1) // 2
+            middle = (values[c][half] + values[c][n // 2]) / 2
+            if self.fill:
+                fills[c] = middle
+            found = [values[c][r] if r <= half else middle if r <= half + nulls[c] else values[c][r - nulls[c]]
+                     for r in (nearest_rank(n + nulls[c], q) for q in self.quantiles())]
+            mean = (summary.sums[c] + nulls[c] * middle) / (n + nulls[c])
+            edges[c] = inner_edges(found, mean)
         return BinModel(columns, fills, edges)
 
 

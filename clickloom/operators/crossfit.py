@@ -15,7 +15,7 @@ from clickloom import defaults as d
 from clickloom.functions.calendar import in_slice
 from clickloom.functions.keys import hash_fold
 from clickloom.operators.encode import Cells, grouped_cells
-from clickloom.operators.lookup import attach
+from clickloom.operators.lookup import Lookup, attach_all
 from clickloom.session import Measured
 
 _SUMS = ["_y1", "_n1", "_y0", "_n0"]  # label sum and rows: inside the slice, outside it
@@ -62,12 +62,17 @@ class SliceDeltas:
     folds: int = d.FOLDS
     seed: int = d.SEED
     row_key: str = d.ROW_KEY
+    # a column with fold numbers, such as stratified folds; None: drawn by a hash of the row key
+    fold: str | None = None
     # False: fallback and smoothing rates come from all training rows; True: from the other folds only
     strict_oof: bool = False
 
+    def fold_number(self) -> Column:
+        return F.col(self.fold) if self.fold else hash_fold(self.row_key, self.folds, self.seed)
+
     def fit(self, train: DataFrame) -> "SliceDeltaModel":
         inside = in_slice() if self.slice_test is None else self.slice_test
-        rows = train.withColumn("_fold", hash_fold(self.row_key, self.folds, self.seed)).withColumn("_in", inside)
+        rows = train.withColumn("_fold", self.fold_number()).withColumn("_in", inside)
         key_sets = list(dict.fromkeys(delta.keys for delta in self.deltas))
         sets = [[*k, "_fold"] for k in key_sets] + ([[self.share_key]] if self.share_key else []) + [["_fold"], []]
         y = F.col(self.label).cast("bigint")
@@ -140,24 +145,21 @@ class SliceDeltaModel:
         return [x.name for x in self.spec.deltas] + ([self.spec.share_name] if self.shares else [])
 
     def transform_train(self, df: DataFrame) -> DataFrame:
-        df = df.withColumn("_fold", hash_fold(self.spec.row_key, self.spec.folds, self.spec.seed))
-        for delta, table in self.leave_out.items():
-            df = attach(df, table, [*delta.keys, "_fold"], "_w", self.spec.row_key)
+        fold = {"_fold": self.spec.fold_number()}
+        # a missing cell has the difference of its fold's rates, so the fold is a value of the lookup's rows
         gap = _per_fold(self.by_fold, 0, self.overall[0]) - _per_fold(self.by_fold, 1, self.overall[1])
-        df = df.withColumns({x.name: F.coalesce(x.name, gap) for x in self.leave_out})
-        return self._share(df.drop("_fold"))
+        lookups = [Lookup(t, [*x.keys, "_fold"], fold, {x.name: gap}) for x, t in self.leave_out.items()]
+        return attach_all(df, [*lookups, *self._share_lookup()], self.spec.row_key)
 
     def transform_new(self, df: DataFrame) -> DataFrame:
         gap = F.lit(self.overall[0]) - F.lit(self.overall[1])
-        for delta, table in self.full.items():
-            df = attach(df, table, list(delta.keys), "_w", self.spec.row_key)
-        return self._share(df.withColumns({x.name: F.coalesce(x.name, gap) for x in self.full}))
+        lookups = [Lookup(t, list(x.keys), defaults={x.name: gap}) for x, t in self.full.items()]
+        return attach_all(df, [*lookups, *self._share_lookup()], self.spec.row_key)
 
-    def _share(self, df: DataFrame) -> DataFrame:
+    def _share_lookup(self) -> list[Lookup]:
         if self.shares is None:
-            return df
-        df = attach(df, self.shares, [self.spec.share_key], "_w", self.spec.row_key)
-        return df.withColumn(self.spec.share_name, F.coalesce(self.spec.share_name, F.lit(self.share)))
+            return []
+        return [Lookup(self.shares, [self.spec.share_key], defaults={self.spec.share_name: F.lit(self.share)})]
 
     def release(self) -> None:
         self.cells.release()

@@ -6,11 +6,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.keys import hash_fold
-from clickloom.operators.lookup import attach
+from clickloom.operators.lookup import Lookup, attach_all
 from clickloom.session import ONE_TASK_ROWS, Measured, measure, use_checkpoint_dir
 
 
@@ -113,33 +113,34 @@ class RateModel:
     leave_out: dict[tuple[str, ...], Measured]
     full: dict[tuple[str, ...], Measured]
 
-    def transform_frequency(self, df: DataFrame) -> DataFrame:
+    def frequency_lookups(self, df: DataFrame) -> list[Lookup]:
         """Share of training rows per value; values never seen get 0.0."""
-        used = [c for c in self.frequency if c in df.columns]
-        for c in used:
-            df = attach(df, self.frequency[c], [c], "_w", self.spec.row_key)
-        return _defaults(df, [f"{c}_freq" for c in used], 0.0)
+        return [Lookup(t, [c], defaults={f"{c}_freq": F.lit(0.0)}) for c, t in self.frequency.items() if c in df.columns]
 
-    def transform_train(self, df: DataFrame) -> DataFrame:
+    def train_lookups(self, df: DataFrame) -> list[Lookup]:
         """Target encoding that leaves out the row's own fold."""
-        df = df.withColumn("_fold", hash_fold(self.spec.row_key, self.spec.folds, self.spec.seed))
-        for keys, table in self.leave_out.items():
-            df = attach(df, table, [*keys, "_fold"], "_w", self.spec.row_key)
-        return _defaults(df.drop("_fold"), [f"{pair_name(k)}_te" for k in self.leave_out], self.prior)
+        fold = {"_fold": hash_fold(self.spec.row_key, self.spec.folds, self.spec.seed)}
+        return [Lookup(t, [*keys, "_fold"], fold, self._prior(keys)) for keys, t in self.leave_out.items()]
 
-    def transform_new(self, df: DataFrame) -> DataFrame:
+    def new_lookups(self, df: DataFrame) -> list[Lookup]:
         """Target encoding from all training rows, for rows that were not trained on."""
-        used = [k for k in self.full if set(k) <= set(df.columns)]
-        for keys in used:
-            df = attach(df, self.full[keys], list(keys), "_w", self.spec.row_key)
-        return _defaults(df, [f"{pair_name(k)}_te" for k in used], self.prior)
+        return [Lookup(t, list(keys), defaults=self._prior(keys)) for keys, t in self.full.items()
+                if set(keys) <= set(df.columns)]
 
-    def release(self) -> None:
-        self.cells.release()
+    def _prior(self, keys: Iterable[str]) -> dict[str, Column]:
+        return {f"{pair_name(keys)}_te": F.lit(self.prior)}
+
+    def transform_frequency(self, df: DataFrame) -> DataFrame:
+        return attach_all(df, self.frequency_lookups(df), self.spec.row_key)
+
+    def transform_train(self, df: DataFrame) -> DataFrame:
+        return attach_all(df, self.train_lookups(df), self.spec.row_key)
 
+    def transform_new(self, df: DataFrame) -> DataFrame:
+        return attach_all(df, self.new_lookups(df), self.spec.row_key)
 
-def _defaults(df: DataFrame, columns: list[str], value: float) -> DataFrame:
-    return df.withColumns({c: F.coalesce(c, F.lit(value)) for c in columns}) if columns else df
+    def release(self) -> None:
+        self.cells.release()
 
 
 def dense_codes(values: DataFrame) -> DataFrame:
@@ -204,18 +205,21 @@ class DictionaryModel:
     codes: Measured
     tables: dict[str, Measured]
 
-    def transform(self, df: DataFrame, drop: bool = True) -> DataFrame:
+    def lookups(self, df: DataFrame) -> list[Lookup]:
         """Codes for known values, null for null and for values outside the dictionary."""
-        used = [c for c in self.tables if c in df.columns]
-        for c in used:
-            table = self.tables[c]
-            if df.schema[c].dataType.simpleString() == "string":
-                side, key = table.df.withColumnRenamed("value", c), c
-            else:
-                df = df.withColumn("_value", F.col(c).cast("string"))
-                side, key = table.df.withColumnRenamed("value", "_value"), "_value"
-            df = attach(df, Measured(side, table.rows), [key], "_w", self.spec.row_key).drop("_value")
-        return df.drop(*used) if drop else df
+        out = []
+        for c in self.tables:
+            if c in df.columns:
+                table, key = self.tables[c], f"_text_{c}"
+                side = Measured(table.df.withColumnRenamed("value", key), table.rows, table.bytes)
+                out.append(Lookup(side, [key], {key: F.col(c).cast("string")}))
+        return out
+
+    def transform(self, df: DataFrame, drop: bool = True) -> DataFrame:
+        return self.without_sources(attach_all(df, self.lookups(df), self.spec.row_key), drop)
+
+    def without_sources(self, df: DataFrame, drop: bool = True) -> DataFrame:
+        return df.drop(*[c for c in self.tables if c in df.columns]) if drop else df
 
     def release(self) -> None:
         self.codes.release()

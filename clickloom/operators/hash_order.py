@@ -85,6 +85,52 @@ def first_by_hash(df: DataFrame, quotas: DataFrame, groups: Iterable[str], key:
     return within_limits(df, hash_limits(df, quotas, groups, key, seed, slot_rows), groups, key, seed)
 
 
+def hash_cuts(df: DataFrame, groups: Iterable[str], parts: int, key: str = d.ROW_KEY, seed: int = d.SEED,
+              slot_rows: int = SLOT_ROWS) -> Measured:
+    """Where every group's hash order is cut into ``parts`` equal parts: ``_g, _n, _cuts``.
+
+    ``_cuts`` holds the (draw, key) of the last row of each part but the last; parts without a row before them have none
+    and are counted in ``_skip``.  Only keys and groups are read, and only the slots with a cut are ranked.
+    """
+    groups = list(groups)
+    sizes = measure(group_sizes(df, groups).withColumns({"_slots": _slots(slot_rows), "_w": F.col("_n")}))
+    narrow = grouped(df, groups).select("_g", F.col(key).alias("_key"), draw(key, seed).alias("_draw"))
+    slotted = attach(narrow, sizes, ["_g"], "_w", "_key").withColumn("_slot", draw_bucket(F.col("_draw"), F.col("_slots")))
+    cells = slotted.groupBy("_g", "_slot").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
+    upto = F.sum("_c").over(Window.partitionBy("_g").orderBy("_slot"))
+    quota = lambda i: F.floor(i * F.col("_n") / F.lit(parts)).cast("bigint")
+    ends = F.filter(F.transform(F.sequence(F.lit(1), F.lit(max(parts - 1, 1))), quota),
+                    lambda q: (q <= F.col("_upto")) & (q > F.col("_upto") - F.col("_c")))
+    # the ranks inside a slot at which a part ends; several parts may end at one row of a small group
+    edges = measure(cells.withColumn("_upto", upto).select("_g", "_slot", F.transform(
+        ends, lambda q: q - F.col("_upto") + F.col("_c")).alias("_ranks")).where(F.size("_ranks") > 0))
+    inside = attach(slotted, edges, ["_g", "_slot"], None, "_key").where(F.col("_ranks").isNotNull())
+    order = Window.partitionBy("_g", "_slot").orderBy("_draw", "_key")
+    last = inside.withColumn("_rank", F.row_number().over(order).cast("bigint")).select(
+        "_g", "_draw", "_key", F.explode(F.filter("_ranks", lambda r: r == F.col("_rank"))))
+    cuts = last.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_draw", "_key"))).alias("_cuts"))
+    empty = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(max(parts - 1, 1))), quota), lambda q: q == 0))
+    return measure(sizes.df.join(cuts, "_g", "left").select("_g", "_n", "_cuts", empty.alias("_skip")))
+
+
+def hash_parts(df: DataFrame, groups: Iterable[str], parts: int, key: str = d.ROW_KEY, seed: int = d.SEED,
+               slot_rows: int = SLOT_ROWS, name: str = "part") -> DataFrame:
+    """Add the part, 0 to ``parts - 1``, of every row in its group's hash order: one comparison per cut, where the row is.
+
+    Parts of a group differ by at most one row.
+    """
+    groups = list(groups)
+    cols = df.columns
+    if parts <= 1:
+        return df.withColumn(name, F.lit(0))
+    cuts = hash_cuts(df, groups, parts, key, seed, slot_rows)
+    ready = attach(grouped(df, groups).withColumn("_draw", draw(key, seed)), cuts, ["_g"], "_n", key)
+    behind = F.size(F.filter("_cuts", lambda c: (c["_draw"] < F.col("_draw")) | (
+        (c["_draw"] == F.col("_draw")) & (c["_key"] < F.col(key)))))
+    passed = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(behind)
+    return ready.select(*cols, (passed + F.col("_skip")).cast("int").alias(name))
+
+
 def hash_ordinal(df: DataFrame, groups: Iterable[str], key: str = d.ROW_KEY, seed: int = d.SEED,
                  slot_rows: int = SLOT_ROWS, name: str = "ordinal") -> DataFrame:
     """Add the zero-based position of every row in its group's hash order."""

@@ -10,7 +10,7 @@ from clickloom import defaults as d
 from clickloom.functions.calendar import in_slice
 from clickloom.functions.keys import hash_split
 from clickloom.operators.hash_order import (
-    SLOT_ROWS, first_by_hash, group_sizes, grouped, hash_limits, hash_ordinal, within_limits,
+    SLOT_ROWS, first_by_hash, group_sizes, grouped, hash_limits, hash_parts, within_limits,
 )
 from clickloom.session import ONE_TASK_ROWS, measure
 
@@ -131,7 +131,9 @@ def first_by_key(df: DataFrame, n: int, key: str = d.ROW_KEY) -> DataFrame:
         if above:
             keys = keys.where(F.col("k") > F.lit(cuts[above - 1]))
         below = upto[above - 1] if above else 0
-        inside = (upto[above] if above < len(cuts) else inside) - below
+        before, inside = inside, (upto[above] if above < len(cuts) else inside) - below
+        if inside == before:
+            raise ValueError(f"the row key {key!r} is not unique: {inside} rows cannot be told apart")
         left -= below
     last = keys.orderBy("k").offset(left - 1).first()[0]
     return df.where(F.col(key) <= F.lit(last))
@@ -139,12 +141,11 @@ def first_by_key(df: DataFrame, n: int, key: str = d.ROW_KEY) -> DataFrame:
 
 def stratified_folds(df: DataFrame, folds: int = d.FOLDS, label: str = d.LABEL, key: str = d.ROW_KEY,
                      seed: int = d.SEED, name: str = "fold", slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """Folds whose class counts differ by at most one row.
+    """Folds whose class counts differ by at most one row: equal parts of every class's hash order.
 
-    The position in the class's hash order, modulo the fold count.
+    The rows are read once and stay where they are; the cuts between the parts come from the keys and labels.
     """
-    ranked = hash_ordinal(df, [label], key, seed, slot_rows, "_ordinal")
-    return ranked.withColumn(name, (F.col("_ordinal") % folds).cast("int")).drop("_ordinal")
+    return hash_parts(df, [label], folds, key, seed, slot_rows, name)
 
 
 def split(df: DataFrame, share: float = 0.2, key: str = d.ROW_KEY, seed: int = d.SEED) -> tuple[DataFrame, DataFrame]:

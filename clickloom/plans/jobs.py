@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,6 +31,7 @@ DAY7_DELTAS = (
     SliceDelta("day7_ctr_delta_seq_bucket", ("seq_len_bucket_cat",)),
 )
 SEQ_BUCKET_DELTA = (SliceDelta("day7_seq_bucket_delta", ("seq_len_bucket_cat",)),)
+FOLD = "_delta_fold"
 
 
 def _ints(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,8 +81,11 @@ def _deltas(spark, train_path, test_path, output, metadata, spec: SliceDeltas, n
     train, test = spark.read.parquet(train_path), spark.read.parquet(test_path)
     require_columns(train, [*needed, d.LABEL], "train")
     require_columns(test, needed, "test")
-    model: SliceDeltaModel = spec.fit(train)
-    meta = _augment(spark, [model.transform_train(train), model.transform_new(test)], output, metadata, model.names)
+    # click rates are left out by folds with equal shares of clicks
+    train = stratified_folds(train, spec.folds, name=FOLD)
+    model: SliceDeltaModel = replace(spec, fold=FOLD).fit(train)
+    meta = _augment(spark, [model.transform_train(train).drop(FOLD), model.transform_new(test)], output, metadata,
+                    model.names)
     model.release()
     return meta
 
@@ -102,8 +107,11 @@ def seq_bucket_delta(spark: SparkSession, train_path: str, test_path: str, outpu
 
 def history_model(train: DataFrame, extra_keys: Sequence[str] = (), bins: int = d.HISTORY_BINS,
                   alpha: float = d.SMOOTHING_ALPHA, min_count: int = d.MIN_COUNT,
-                  folds: int = d.FOLDS) -> tuple[BinModel, SliceDeltaModel]:
-    """Bin the history columns, then fit smoothed deltas per sequence bucket and grid cell."""
+                  folds: int = d.FOLDS, fold: str | None = None) -> tuple[BinModel, SliceDeltaModel]:
+    """Bin the history columns, then fit smoothed deltas per sequence bucket and grid cell.
+
+    ``fold`` names a column with fold numbers; without it they are drawn by a hash of the row key.
+    """
     extra = list(dict.fromkeys(extra_keys))
     columns = sorted({c for a, b, _ in d.HISTORY_PAIRS for c in (a, b)})
     require_columns(train, [d.ROW_KEY, d.LABEL, "day_of_week", "seq_len_bucket_cat", *extra, *columns], "train")
@@ -111,7 +119,7 @@ def history_model(train: DataFrame, extra_keys: Sequence[str] = (), bins: int =
     deltas = [SliceDelta(name, ("seq_len_bucket_cat", *extra, f"{a}_{b}_bin_idx"), alpha, min_count)
               for a, b, name in d.HISTORY_PAIRS]
     gridded = with_grid(_ints(train, ["seq_len_bucket_cat", *extra]), binner)
-    return binner, SliceDeltas(deltas, folds=folds).fit(gridded)
+    return binner, SliceDeltas(deltas, folds=folds, fold=fold).fit(gridded)
 
 
 def with_grid(df: DataFrame, binner: BinModel) -> DataFrame:
@@ -124,13 +132,14 @@ def history_features(spark: SparkSession, train_path: str, test_path: str, outpu
                      min_count: int = d.MIN_COUNT, folds: int = d.FOLDS) -> dict:
     """F17-F20 as a job; the frames keep their unfilled history columns."""
     train, test = spark.read.parquet(train_path), spark.read.parquet(test_path)
-    binner, model = history_model(train, extra_keys, bins, alpha, min_count, folds)
+    train = stratified_folds(train, folds, name=FOLD)
+    binner, model = history_model(train, extra_keys, bins, alpha, min_count, folds, FOLD)
 
     def augmented(df: DataFrame, add) -> DataFrame:
         raw = {f"_raw_{c}": F.col(c) for c in binner.columns}
         done = add(with_grid(df.withColumns(raw), binner))
         helpers = [f"{c}_bin" for c in binner.columns] + [f"{a}_{b}_bin_idx" for a, b, _ in d.HISTORY_PAIRS]
-        return done.withColumns({c: F.col(f"_raw_{c}") for c in binner.columns}).drop(*helpers, *raw)
+        return done.withColumns({c: F.col(f"_raw_{c}") for c in binner.columns}).drop(*helpers, *raw, FOLD)
 
     meta = _augment(spark, [augmented(train, model.transform_train), augmented(test, model.transform_new)],
                     output, metadata, model.names)

@@ -12,7 +12,7 @@ from clickloom.functions.columns import drop_columns
 from clickloom.functions.missing import fill_categories, missing_flags
 from clickloom.functions.sequence import add_seq_crosses, add_seq_features
 from clickloom.operators.encode import DictionaryEncoder, DictionaryModel, RateEncoder, RateModel
-from clickloom.operators.lookup import attach_by_row
+from clickloom.operators.lookup import Lookup, attach_all, attach_by_row
 
 
 @dataclass
@@ -72,16 +72,18 @@ class PreprocessModel:
 
     def transform_train(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False,
                         prepared: bool = False) -> DataFrame:
-        ready = self.rates.transform_frequency(df if prepared else row_features(df, self.config))
-        return self._finish(self.rates.transform_train(ready), embeddings, keep_key)
+        ready = df if prepared else row_features(df, self.config)
+        return self._finish(ready, self.rates.train_lookups(ready), embeddings, keep_key)
 
     def transform_new(self, df: DataFrame, embeddings: DataFrame | None = None, keep_key: bool = False,
                       prepared: bool = False) -> DataFrame:
-        ready = self.rates.transform_frequency(df if prepared else row_features(df, self.config))
-        return self._finish(self.rates.transform_new(ready), embeddings, keep_key)
+        ready = df if prepared else row_features(df, self.config)
+        return self._finish(ready, self.rates.new_lookups(ready), embeddings, keep_key)
 
-    def _finish(self, df: DataFrame, embeddings: DataFrame | None, keep_key: bool) -> DataFrame:
-        df = self.codes.transform(df)
+    def _finish(self, df: DataFrame, targets: list[Lookup], embeddings: DataFrame | None, keep_key: bool) -> DataFrame:
+        """All tables at once, so that the rows move once at most."""
+        lookups = [*self.rates.frequency_lookups(df), *targets, *self.codes.lookups(df)]
+        df = self.codes.without_sources(attach_all(df, lookups, self.config.row_key))
         df = drop_columns(df, self.config.collinear)
         if embeddings is not None:
             df = attach_by_row(df, embeddings, self.config.row_key)

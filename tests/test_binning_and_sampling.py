@@ -4,10 +4,12 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from clickloom.functions.keys import draw
 from clickloom.operators import sampling
 from clickloom.operators.binning import BinModel, QuantileBinner, digitize, inner_edges
+from clickloom.operators.hash_order import hash_parts
 
 
 def test_degenerate_edges(spark):
@@ -100,6 +102,27 @@ def test_exact_sizes(spark):
     assert sampling.first_by_key(df, 10**6).count() == 3000 and sampling.first_by_key(df, 0).count() == 0
 
 
+@pytest.mark.parametrize("slot_rows, parts", [(7, 5), (1000, 5), (7, 3), (20, 1)])
+def test_hash_parts_equal_one_window(spark, slot_rows, parts):
+    # groups of many sizes, one smaller than the number of parts
+    df = spark.range(700).select(F.col("id").alias("row_idx"), F.when(F.col("id") < 3, "tiny").when(
+        F.col("id") < 40, F.lit(None).cast("string")).when(F.col("id") % 9 == 0, "b").otherwise("a").alias("g"))
+    whole = Window.partitionBy("g")
+    order = whole.orderBy(draw("row_idx", 42), "row_idx")
+    want = df.withColumn("part", F.expr("0") + F.floor((F.row_number().over(order) * parts - 1) / F.count("*").over(whole)).cast("int"))
+    got = hash_parts(df, ["g"], parts, slot_rows=slot_rows)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert hash_parts(df.limit(0), ["g"], parts).count() == 0
+
+
+def test_folds_leave_the_rows_where_they_are(spark, tmp_path):
+    spark.range(500).select(F.col("id").alias("row_idx"), (F.col("id") % 4 == 0).cast("int").alias("clicked"),
+                            F.lit(1.5).alias("feature")).write.parquet(str(tmp_path / "t"))
+    plan = sampling.stratified_folds(spark.read.parquet(str(tmp_path / "t")), 5)._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.split("\n") if "Exchange" in x and "feature" in x]
+    assert "feature" in plan and not wide and "SortMergeJoin" not in plan.split("InMemoryRelation")[0]
+
+
 def test_folds_are_balanced_per_class(spark):
     df = spark.range(1003).withColumnRenamed("id", "row_idx").withColumn("clicked", (F.col("row_idx") % 9 == 0).cast("int"))
     counts = sampling.stratified_folds(df, slot_rows=50).groupBy("clicked", "fold").count().collect()

@@ -106,6 +106,19 @@ def test_deltas_equal_brute_force(spark, strict):
         assert got[row["row_idx"]]["day7_freq_ratio_inv"] == pytest.approx(share)
 
 
+def test_given_folds(spark):
+    df = rows(spark, 900)
+    spec = SliceDelta("x", ("a",), alpha=5.0)
+    drawn = SliceDeltas([spec]).fit(df).transform_train(df).select("row_idx", "x")
+    given = df.withColumn("f", hash_fold())
+    same = SliceDeltas([spec], fold="f").fit(given).transform_train(given).select("row_idx", "x")
+    assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, same.collect()))
+    # with all rows in one fold nothing is left to estimate from but the overall rates
+    one = df.withColumn("f", F.lit(0))
+    model = SliceDeltas([spec], fold="f").fit(one)
+    assert {round(r["x"], 12) for r in model.transform_train(one).collect()} == {round(model.overall[0] - model.overall[1], 12)}
+
+
 def test_one_sided_keys(spark):
     def many(key, day, n, clicks):
         return [(key, day, 1 if i < clicks else 0) for i in range(n)]

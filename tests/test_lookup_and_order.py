@@ -1,12 +1,13 @@
 """Joins of statistics, exact order statistics, and hash order, on skewed data."""
 
+import math
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from clickloom.operators import lookup, order_stats
+from clickloom.operators import binning, lookup, order_stats, sampling
 from clickloom.operators.hash_order import first_by_hash, group_sizes, hash_ordinal
 from clickloom.functions.keys import draw
 from clickloom.session import Measured, measure
@@ -125,3 +126,79 @@ def test_measured_counts(spark):
     m = measure(spark.range(5))
     assert isinstance(m, Measured) and m.rows == 5
     m.release()
+
+
+@pytest.mark.parametrize("one_task", [100, 10**6])
+def test_values_at_any_rank_in_two_scans(spark, monkeypatch, one_task):
+    monkeypatch.setattr(order_stats, "ONE_TASK_ROWS", one_task)
+    rng = np.random.default_rng(2)
+    cols = {"u": rng.random(9000), "heavy": np.where(rng.random(9000) < 0.4, 1.0, rng.normal(size=9000)),
+            "odd": np.where(np.arange(9000) % 3 == 0, np.nan, np.round(rng.normal(size=9000), 2))}
+    cols["odd"][:5] = [math.inf, -math.inf, math.inf, -0.0, 0.0]
+    rows = [(float(a), float(b), None if i % 5 == 4 else float(c)) for i, (a, b, c) in enumerate(zip(*cols.values()))]
+    df = spark.createDataFrame(rows, "u double, heavy double, odd double")
+    want = {"u": sorted(cols["u"]), "heavy": sorted(cols["heavy"]), "odd": sorted(
+        (r[2] for r in rows if r[2] is not None), key=lambda v: (math.isnan(v), v))}
+    summary = order_stats.summarise(df, list(cols))
+    assert summary.rows == 9000 and summary.counts["odd"] == len(want["odd"])
+    ranks = {c: sorted({0, len(v) - 1, *rng.integers(0, len(v), 12).tolist()}) for c, v in want.items()}
+    got = order_stats.values_at(df, ranks, summary)
+    for c, at in ranks.items():
+        assert [str(got[c][r] + 0.0) for r in at] == [str(want[c][r] + 0.0) for r in at], c
+    # a sketch that errs costs another scan, not the result
+    monkeypatch.setattr(order_stats.Summary, "brackets", lambda self, ranks, always=False: {
+        c: [(0.1, 0.2), (0.5, 0.5)] for c in ranks})
+    again = order_stats.values_at(df, ranks, summary)
+    for c, at in ranks.items():
+        assert [str(again[c][r] + 0.0) for r in at] == [str(want[c][r] + 0.0) for r in at], c
+
+
+def test_binning_reads_the_data_twice(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(order_stats, "ONE_TASK_ROWS", 100)
+    spark.range(3000).select((F.col("id") % 977).cast("double").alias("x"), F.when(F.col("id") % 7 != 0, F.sqrt("id")).alias(
+        "y")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    read = []
+    for name in ("summarise", "values_at"):
+        monkeypatch.setattr(binning, name, lambda *a, f=getattr(order_stats, name), **k: (read.append(1), f(*a, **k))[1])
+    model = binning.QuantileBinner(["x", "y"], 8).fit(df)
+    assert len(read) == 2
+    x = sorted(i % 977 for i in range(3000))
+    y = [math.sqrt(i) for i in range(3000) if i % 7]
+    y = sorted(y + [float(np.median(y))] * (3000 - len(y)))
+    for c, v in (("x", x), ("y", y)):
+        assert model.edges[c] == sorted({float(v[order_stats.nearest_rank(3000, q)]) for q in model_quantiles(8)})[1:-1]
+
+
+def model_quantiles(bins):
+    return [i * (1.0 / bins) for i in range(bins)] + [1.0]
+
+
+def test_first_by_key_refuses_a_key_that_repeats(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 50)
+    df = spark.range(300).select((F.col("id") % 2).alias("row_idx"))
+    with pytest.raises(ValueError, match="not unique"):
+        sampling.first_by_key(df, 20)
+
+
+def test_several_large_tables_move_the_rows_once(spark, tmp_path):
+    """Lookups by row key and keys, then one join of the wide rows."""
+    spark.range(400).select(F.col("id").alias("row_idx"), (F.col("id") % 7).alias("a"), F.when(
+        F.col("id") % 5 != 0, (F.col("id") % 11).cast("string")).alias("b"), F.lit(2.5).alias("wide")).write.parquet(
+        str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    one = spark.createDataFrame([(i, i * 0.5, 3) for i in range(6)], "a long, fa double, _w long")
+    two = spark.createDataFrame([(i, str(j), i + j, 3) for i in range(7) for j in range(9)], "a long, b string, fb int, _w long")
+    three = spark.createDataFrame([(str(j), j, 3) for j in range(11)], "_t string, fc int, _w long")
+    lookups = [lookup.Lookup(Measured(one, 6), ["a"], defaults={"fa": F.lit(-1.0)}), lookup.Lookup(Measured(two, 63), ["a", "b"]),
+               lookup.Lookup(Measured(three, 11), ["_t"], {"_t": F.col("b")})]
+    small = lookup.attach_all(rows, lookups)
+    large = lookup.attach_all(rows, lookups, broadcast_rows=0)
+    # of all exchanges only one carries the wide column
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    blocks = large._jdf.queryExecution().explainString(mode).split("\n\n")
+    assert len([b for b in blocks if ") Exchange" in b and "wide#" in b.split("Arguments")[0]]) == 1
+    assert small.columns == large.columns == ["row_idx", "a", "b", "wide", "fa", "fb", "fc"]
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+    got = {r["row_idx"]: r for r in large.collect()}
+    assert len(got) == 400 and got[13]["fa"] == -1.0 and got[8]["fb"] == 1 + 8 and got[5]["fc"] is None
