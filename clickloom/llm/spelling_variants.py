@@ -36,6 +36,8 @@ MIN_LENGTH, MIN_COUNT, RATIO, SLIP_EVERY = 6, 5, 5, 199
 MOST = 4000
 # Words of a batch of lists that are scanned in lock step.
 AT_ONCE = 100_000
+# Intermediate tables have about a file for so many words, not one for each shuffle partition of the corpus.
+WORDS_A_FILE = 50_000
 PAIRS = "word string, near string, n long, near_n long, back boolean"
 
 
@@ -205,13 +207,13 @@ def near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["word", "near", "n", "near_n", "back"])
 
 
-def _roots(words: DataFrame, scratch: Scratch) -> DataFrame:
+def _roots(words: DataFrame, scratch: Scratch, files: int) -> DataFrame:
     """``word, root`` of all words with a form."""
-    pointers = scratch.keep(words.where("form is not null").select("word", F.col("form").alias("root")))
+    pointers = scratch.keep(words.where("form is not null").select("word", F.col("form").alias("root")).coalesce(files))
     while True:
         ahead = pointers.select(F.col("word").alias("root"), F.col("root").alias("next"))
         moved = scratch.keep(pointers.join(ahead, "root", "left").select(
-            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")).coalesce(files))
         pointers = moved.select("word", "root")
         if moved.where("moved").isEmpty():
             return pointers
@@ -222,9 +224,10 @@ def variants(words: DataFrame, min_length: int = MIN_LENGTH, ratio: int = RATIO,
     code points without U+0000, and its occurrences ``n``)."""
     scratch = Scratch(words.sparkSession)
     words = scratch.keep(words.select("word", "n"))
+    files = max(1, -(-words.count() // WORDS_A_FILE))
     found = None
     for lists in _lists(words, scratch, min_length, most):
-        pairs = scratch.keep(lists.mapInArrow(near_pairs, PAIRS))
+        pairs = scratch.keep(lists.coalesce(files).mapInArrow(near_pairs, PAIRS))
         found = pairs if found is None else found.unionByName(pairs)
     straight: Column = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c)).alias(c)
     # a pair may share both halves, and so stand in two lists
@@ -235,6 +238,6 @@ def variants(words: DataFrame, min_length: int = MIN_LENGTH, ratio: int = RATIO,
     formed = F.col("most") >= ratio * F.col("n")
     named = scratch.keep(joined.select(
         "word", F.when(formed, F.col("best.form")).alias("form"), "n",
-        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(formed, F.col("most")).alias("form_n")))
-    return named.join(_roots(named, scratch), "word", "left").select(
+        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(formed, F.col("most")).alias("form_n")).coalesce(files))
+    return named.join(_roots(named, scratch, files), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
