@@ -218,6 +218,8 @@ def top_pair_submatrix(spark, sf):
 # tests recompute the numbers.
 
 SMALL = T.BoostParams(learning_rate=0.2, max_depth=3, min_data_in_leaf=5, rounds=4, max_bins=32)
+# all rounds, until no fold gets better
+STOPPING = T.BoostParams(learning_rate=0.3, max_depth=4, min_data_in_leaf=20, patience=3)
 HELD = f"{S.DRAW}::DOUBLE / 1152921504606846976.0::DOUBLE < 0.2"
 LEARNABLE = f"{S.IMP}, {S.TRAIN}, {S.TEST}"
 
@@ -236,7 +238,7 @@ def probability(column: str):
 
 @query("gbt_oof", f"WITH {LEARNABLE} SELECT row_idx, learnable AS clicked, {S.FOLD} AS fold, true AS scored FROM train")
 def gbt_oof(spark, sf):
-    oof = T.train_folds(learnable(spark, sf)[0], SMALL).oof
+    oof = T.train_folds(learnable(spark, sf)[0], STOPPING).oof
     return oof.select("row_idx", "clicked", "fold", probability("raw_pred").alias("scored"))
 
 
@@ -262,11 +264,12 @@ def feature_importance(spark, sf):
                     F.max_by("feature", "importance").alias("best"))
 
 
-@query("permutation_importance", """SELECT * FROM (VALUES ('feat_e_3', true), ('history_b_23', false)) t(feature, matters)""")
+@query("permutation_importance", """SELECT * FROM (VALUES ('age', false), ('feat_e_3', true), ('gender', false), ('history_a_6', false),
+  ('history_b_11', true), ('history_b_22', false), ('history_b_23', false), ('inv', false)) t(feature, matters)""")
 def permutation_importance(spark, sf):
     rows, _ = learnable(spark, sf)
     model, _ = T.train_holdout(rows, SMALL)
-    drops = T.permutation_importance(model, rows, ["feat_e_3", "history_b_23"])
+    drops = T.permutation_importance(model, rows)
     return drops.select("feature", (F.col("mean_importance") > 0.01).alias("matters"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,23 +25,38 @@ def _within_one(r: Column) -> Column:
     return F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
 
 
-def _batch_moments(values: np.ndarray) -> np.ndarray:
-    """n, means, squared deviations and co-deviations of all pairs in a batch, over the rows where both are present.
+# Columns of a tile.  A task holds the moments of one pair of tiles.
+TILE = 512
+PAIRS = "feature1 string, feature2 string, correlation double"
 
-    Six matrices; entry (i, j) of the second and fourth is about column i in the rows of the pair.  The columns are
-    shifted by their medians before they are squared, so offsets cost no digits and constants leave exact zeros.
+
+def _shifted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns less their medians (0 where missing), where they are present, and the medians.
+
+    Shifted before they are squared, offsets cost no digits and constants leave exact zeros.
     """
     there = ~np.isnan(values)
-    mask = there.astype(np.float64)
+    shift = np.array([np.median(v[ok]) if ok.any() else 0.0 for v, ok in zip(values.T, there.T)])
+    with np.errstate(all="ignore"):
+        return np.where(there, values - shift, 0.0), there.astype(np.float64), shift
+
+
+def _batch_moments(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """n, means, squared deviations and co-deviations of all pairs of a left and a right column of a batch, over the rows
+    where both are present.
+
+    Six matrices, a row per left and a column per right column: the second and fourth are about the left, the third and
+    fifth about the right column, in the rows of the pair.
+    """
+    x, in_x, shift_x = _shifted(left)
+    y, in_y, shift_y = (x, in_x, shift_x) if right is left else _shifted(right)
     with np.errstate(all="ignore"):
-        shift = np.array([np.median(v[ok]) if ok.any() else 0.0 for v, ok in zip(values.T, there.T)])
-        x = np.where(there, values - shift, 0.0)
-        n, sx = mask.T @ mask, x.T @ mask
+        n, sx, sy = in_x.T @ in_y, x.T @ in_y, in_x.T @ y
         safe = np.maximum(n, 1)
-        mean = sx / safe
-        square, co = (x * x).T @ mask, x.T @ x
-        return np.stack((n, mean + shift[:, None], mean.T + shift[None], np.maximum(square - sx * mean, 0.0),
-                         np.maximum(square - sx * mean, 0.0).T, co - sx * mean.T))
+        mean_x, mean_y = sx / safe, sy / safe
+        return np.stack((n, mean_x + shift_x[:, None], mean_y + shift_y[None],
+                         np.maximum((x * x).T @ in_y - sx * mean_x, 0.0),
+                         np.maximum(in_x.T @ (y * y) - sy * mean_y, 0.0), x.T @ y - sx * mean_y))
 
 
 def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -56,27 +72,31 @@ def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                          a[5] + b[5] + dx * dy * weight))
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row ``m``: the merged moments of all pairs of columns.
+def _moments(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """One row ``m``: the merged moments of all pairs of a left and a right column.
 
-    Every task adds up its batches to one row of six square matrices; these are merged in two levels, so no task
+    Every task adds up its batches to one row of six matrices; these are merged in two levels, so no task
     reads more than about the square root of their number.
     """
-    p = len(columns)
+    same = list(left) == list(right)
+    shape = (6, len(left), len(right))
+    columns = list(left) if same else [*left, *right]
     numbers = df.select([F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, p, p))
+        total = np.zeros(shape)
         for batch in batches:
             if len(batch):
-                total = _merged(total, _batch_moments(batch.to_numpy(dtype=np.float64, na_value=np.nan)))
+                values = batch.to_numpy(dtype=np.float64, na_value=np.nan)
+                x = values[:, :shape[1]]
+                total = _merged(total, _batch_moments(x, x if same else values[:, shape[1]:]))
         yield pd.DataFrame({"m": [total.tobytes()]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, p, p))
+        total = np.zeros(shape)
         for batch in batches:
             for raw in batch["m"]:
-                total = _merged(total, np.frombuffer(raw).reshape(6, p, p))
+                total = _merged(total, np.frombuffer(raw).reshape(shape))
         yield pd.DataFrame({"m": [total.tobytes()]})
 
     parts = numbers.mapInPandas(scan, "m binary")
@@ -86,36 +106,55 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return parts.coalesce(1).mapInPandas(add, "m binary")
 
 
-def _by_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    columns = list(columns)
-    p = len(columns)
+def _tile_pairs(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """Correlations of one pair of tiles; of a tile with itself those above the diagonal."""
+    same = left == right
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for raw in batch["m"]:
-                n, _, _, vx, vy, co = np.frombuffer(raw).reshape(6, p, p)
-                i, j = np.triu_indices(p, k=1)
+                n, _, _, vx, vy, co = np.frombuffer(raw).reshape(6, len(left), len(right))
+                i, j = np.triu_indices(len(left), k=1) if same else (x.ravel() for x in np.indices(n.shape))
+                if not len(i):
+                    continue
                 with np.errstate(all="ignore"):
                     r = np.where((n > 1) & (vx > 0) & (vy > 0), co / np.sqrt(vx) / np.sqrt(vy), np.nan)[i, j]
-                yield pd.DataFrame({"feature1": [columns[k] for k in i], "feature2": [columns[k] for k in j],
+                yield pd.DataFrame({"feature1": [left[k] for k in i], "feature2": [right[k] for k in j],
                                     "correlation": pd.array([None if np.isnan(v) else v for v in r], "Float64")})
 
-    rows = _moments(df, columns).mapInPandas(pairs, "feature1 string, feature2 string, correlation double")
+    return _moments(df, left, right).mapInPandas(pairs, PAIRS)
+
+
+def _by_moments(df: DataFrame, columns: Sequence[str], tile: int) -> DataFrame:
+    """All pairs: a scan per pair of tiles, of the columns of these two only."""
+    columns = list(columns)
+    tiles = [columns[i:i + tile] for i in range(0, len(columns), tile)]
+    if not tiles:
+        return df.sparkSession.createDataFrame([], PAIRS)
+    rows = reduce(DataFrame.unionByName, [_tile_pairs(df, a, b) for i, a in enumerate(tiles) for b in tiles[i:]])
     return rows.withColumn("correlation", _within_one(F.col("correlation")))
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, over the rows where both are present; one scan.
+def correlation_pairs(df: DataFrame, columns: Sequence[str], tile: int = TILE) -> DataFrame:
+    """Pearson correlation of every pair, over the rows where both are present; one scan up to ``tile`` columns.
+
+    More columns are cut into tiles.  Every pair of tiles is a scan of its own columns, so that a task's memory is
+    bounded by the tile and not by the number of columns.
 
     Rows ``(feature1, feature2, correlation)`` for the upper triangle in list order.  Nulls and NaN are missing; the
     correlation is null when a column is constant in the rows of the pair, infinite, or present in fewer than two.
     """
-    return _by_moments(df, columns)
+    return _by_moments(df, columns, tile)
 
 
-def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL) -> DataFrame:
-    """K6: ``(feature, correlation, abs_correlation)`` with the target."""
-    return _with_target(_by_moments(df, [*[c for c in columns if c != target], target]), target)
+def target_correlations(df: DataFrame, columns: Sequence[str], target: str = d.LABEL, tile: int = TILE) -> DataFrame:
+    """K6: ``(feature, correlation, abs_correlation)`` with the target; only pairs with the target are computed."""
+    others = [c for c in columns if c != target]
+    if not others:
+        return _with_target(df.sparkSession.createDataFrame([], PAIRS), target)
+    rows = reduce(DataFrame.unionByName, [
+        _tile_pairs(df, others[i:i + tile], [target]) for i in range(0, len(others), tile)])
+    return _with_target(rows.withColumn("correlation", _within_one(F.col("correlation"))), target)
 
 
 def _with_target(pairs: DataFrame, target: str) -> DataFrame:

@@ -6,10 +6,11 @@ key's total minus the cell, so no fold is aggregated twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.calendar import in_slice
@@ -17,6 +18,7 @@ from clickloom.functions.keys import hash_fold
 from clickloom.operators.encode import Cells, grouped_cells
 from clickloom.operators.lookup import Lookup, attach_all
 from clickloom.session import Measured
+from clickloom.sources.files import read_text, write_text
 
 _SUMS = ["_y1", "_n1", "_y0", "_n0"]  # label sum and rows: inside the slice, outside it
 
@@ -80,13 +82,19 @@ class SliceDeltas:
             F.coalesce(F.sum(F.when(F.col("_in"), y)), F.lit(0)).alias("_y1"), F.count_if(F.col("_in")).alias("_n1"),
             F.coalesce(F.sum(F.when(~F.col("_in"), y)), F.lit(0)).alias("_y0"), F.count_if(~F.col("_in")).alias("_n0"),
         ])
+        return self.model(cells)
+
+    def model(self, cells: Cells) -> "SliceDeltaModel":
+        """The model of counted cells: one set per key set and fold, one of the share key, one per fold, one for all."""
+        key_sets = list(dict.fromkeys(delta.keys for delta in self.deltas))
+        folds_at = len(key_sets) + bool(self.share_key)
         # one row per fold and one for everything
-        sums = cells.df.where(F.col("_set") >= len(sets) - 2).select("_set", "_fold", *_SUMS).collect()
-        whole = next((r for r in sums if r["_set"] == len(sets) - 1), None)
+        sums = cells.df.where(F.col("_set") >= folds_at).select("_set", "_fold", *_SUMS).collect()
+        whole = next((r for r in sums if r["_set"] == folds_at + 1), None)
         overall = _rates(*(whole[c] for c in _SUMS))
         by_fold = {}
         for r in sums:
-            if r["_set"] == len(sets) - 2:
+            if r["_set"] == folds_at:
                 by_fold[r["_fold"]] = _rates(*(whole[c] - r[c] for c in _SUMS)) if self.strict_oof else overall
         seen = whole["_n1"] + whole["_n0"]
         share = whole["_n1"] / seen if seen else 0.0
@@ -164,6 +172,25 @@ class SliceDeltaModel:
     def release(self) -> None:
         self.cells.release()
 
+    def save(self, path: str) -> None:
+        """The cells as Parquet and the settings as JSON, without the slice: rows were dealt to it when they were counted."""
+        self.cells.save(f"{path}/cells")
+        spec = {f.name: getattr(self.spec, f.name) for f in fields(self.spec) if f.name != "slice_test"}
+        spec["deltas"] = [asdict(x) for x in self.spec.deltas]
+        write_text(self.cells.df.sparkSession, f"{path}/deltas.json", json.dumps(spec))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "SliceDeltaModel":
+        spec = json.loads(read_text(spark, f"{path}/deltas.json"))
+        spec["deltas"] = [SliceDelta(**{**x, "keys": tuple(x["keys"])}) for x in spec["deltas"]]
+        return SliceDeltas(**spec).model(Cells.load(spark, f"{path}/cells"))
+
+    def merge(self, other: "SliceDeltaModel") -> "SliceDeltaModel":
+        """The model of both models' training rows, as if they had been fitted together."""
+        if list(self.spec.deltas) != list(other.spec.deltas) or self.spec.share_key != other.spec.share_key:
+            raise ValueError("only models of the same features can be merged")
+        return self.spec.model(self.cells.merged(other.cells, _SUMS))
+
 
 def slice_full_outer(df: DataFrame, keys: Sequence[str], label: str = d.LABEL,
                      slice_test: Column | None = None) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom import defaults as d
 from clickloom.functions.keys import hash_fold
 from clickloom.operators.lookup import Lookup, attach_all
 from clickloom.session import ONE_TASK_ROWS, Measured, measure, use_checkpoint_dir
+from clickloom.sources.files import read_text, write_text
 
 
 @dataclass
@@ -31,6 +33,25 @@ class Cells:
     def release(self) -> None:
         self.df.unpersist()
 
+    def save(self, path: str) -> None:
+        self.df.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Cells":
+        return counted_cells(spark.read.parquet(path))
+
+    def merged(self, other: "Cells", sums: Iterable[str]) -> "Cells":
+        """The cells of both tables' rows together: sums and counts add up, null keys included."""
+        sums = list(sums)
+        both = self.df.unionByName(other.df)
+        keys = [c for c in both.columns if c not in sums]
+        return counted_cells(both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).select(*self.df.columns))
+
+
+def counted_cells(df: DataFrame) -> Cells:
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return Cells(kept, {r["_set"]: r["count"] for r in kept.groupBy("_set").count().collect()})
+
 
 def grouped_cells(df: DataFrame, sets: Iterable[Iterable[str]], aggregates) -> Cells:
     """Aggregate one scan by several key sets at once (GROUPING SETS), keep the result and count it.
@@ -47,8 +68,7 @@ def grouped_cells(df: DataFrame, sets: Iterable[Iterable[str]], aggregates) -> C
     number = F.lit(None).cast("int")
     for i, g in enumerate(gid):
         number = F.when(F.col("_gid") == g, F.lit(i)).otherwise(number)
-    kept = cells.withColumn("_set", number).drop("_gid").persist(StorageLevel.MEMORY_AND_DISK)
-    return Cells(kept, {r["_set"]: r["count"] for r in kept.groupBy("_set").count().collect()})
+    return counted_cells(cells.withColumn("_set", number).drop("_gid"))
 
 
 def pair_name(keys: Iterable[str]) -> str:
@@ -74,8 +94,11 @@ class RateEncoder:
         sets = [[c] for c in freq] + [[*k, "_fold"] for k in pairs] + [[]]
         folded = train.withColumn("_fold", hash_fold(self.row_key, self.folds, self.seed))
         positives = F.sum(self.label).cast("double") if self.label in have else F.lit(0.0)
-        cells = grouped_cells(folded, sets, [positives.alias("_y"), F.count("*").alias("_n")])
-        total = cells.of(len(sets) - 1).select("_y", "_n").first()
+        return self.model(grouped_cells(folded, sets, [positives.alias("_y"), F.count("*").alias("_n")]), freq, pairs)
+
+    def model(self, cells: Cells, freq: list[str], pairs: list[tuple[str, ...]]) -> "RateModel":
+        """The model of counted cells: one set per frequency column, one per pair and fold, and one for all rows."""
+        total = cells.of(len(freq) + len(pairs)).select("_y", "_n").first()
         rows = total["_n"]
         prior = total["_y"] / rows if rows else 0.0
 
@@ -142,6 +165,26 @@ class RateModel:
     def release(self) -> None:
         self.cells.release()
 
+    def save(self, path: str) -> None:
+        """The cells as Parquet and the settings as JSON; a loaded model transforms, and merges with other days."""
+        self.cells.save(f"{path}/cells")
+        spec = {**asdict(self.spec), "frequency": list(self.frequency), "target": [list(k) for k in self.full]}
+        write_text(self.cells.df.sparkSession, f"{path}/encoder.json", json.dumps(spec))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "RateModel":
+        spec = json.loads(read_text(spark, f"{path}/encoder.json"))
+        spec["target"] = [tuple(k) for k in spec["target"]]
+        encoder = RateEncoder(**spec)
+        return encoder.model(Cells.load(spark, f"{path}/cells"), encoder.frequency, encoder.target)
+
+    def merge(self, other: "RateModel") -> "RateModel":
+        """The model of both models' training rows, as if they had been fitted together."""
+        if (list(self.frequency), list(self.full)) != (list(other.frequency), list(other.full)) or (
+                self.spec.folds, self.spec.seed) != (other.spec.folds, other.spec.seed):
+            raise ValueError("only models of the same columns and folds can be merged")
+        return self.spec.model(self.cells.merged(other.cells, ["_y", "_n"]), list(self.frequency), list(self.full))
+
 
 def dense_codes(values: DataFrame) -> DataFrame:
     """Number the values of every column 0..n-1 in sort order, without a global window.
@@ -183,20 +226,23 @@ class DictionaryEncoder:
             part = pairs.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("_w"))
             seen = part if seen is None else seen.unionByName(part)
         distinct = measure(seen.groupBy("column", "value").agg(F.sum("_w").alias("_w")))
+        coded = self.coded(distinct).persist(StorageLevel.MEMORY_AND_DISK)
+        model = self.model(coded, [c for c in self.columns if any(c in f.columns for f in frames)])
+        distinct.release()
+        return model
+
+    def coded(self, distinct: Measured) -> DataFrame:
+        """Every column's values with codes 0, 1, .. in sort order."""
         if distinct.rows <= self.one_task_rows:
             order = Window.partitionBy("column").orderBy("value")
-            coded = distinct.df.withColumn("code", F.row_number().over(order) - 1)
-        else:
-            coded = dense_codes(distinct.df)
-        codes = Measured(coded.persist(StorageLevel.MEMORY_AND_DISK), distinct.rows)
-        sizes = {r["column"]: r["count"] for r in codes.df.groupBy("column").count().collect()}
-        distinct.release()
-        tables = {
-            c: Measured(codes.df.where(F.col("column") == c).select("value", F.col("code").alias(f"{c}_cat"), "_w"),
-                        sizes.get(c, 0))
-            for c in self.columns if any(c in f.columns for f in frames)
-        }
-        return DictionaryModel(self, codes, tables)
+            return distinct.df.withColumn("code", F.row_number().over(order) - 1)
+        return dense_codes(distinct.df)
+
+    def model(self, coded: DataFrame, columns: list[str]) -> "DictionaryModel":
+        sizes = {r["column"]: r["count"] for r in coded.groupBy("column").count().collect()}
+        tables = {c: Measured(coded.where(F.col("column") == c).select("value", F.col("code").alias(f"{c}_cat"), "_w"),
+                              sizes.get(c, 0)) for c in columns}
+        return DictionaryModel(self, Measured(coded, sum(sizes.values())), tables)
 
 
 @dataclass
@@ -223,3 +269,27 @@ class DictionaryModel:
 
     def release(self) -> None:
         self.codes.release()
+
+    def save(self, path: str) -> None:
+        self.codes.df.write.mode("overwrite").parquet(f"{path}/codes")
+        spec = {"columns": list(self.tables), "row_key": self.spec.row_key, "one_task_rows": self.spec.one_task_rows}
+        write_text(self.codes.df.sparkSession, f"{path}/dictionary.json", json.dumps(spec))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "DictionaryModel":
+        spec = DictionaryEncoder(**json.loads(read_text(spark, f"{path}/dictionary.json")))
+        return spec.model(spark.read.parquet(f"{path}/codes").persist(StorageLevel.MEMORY_AND_DISK), spec.columns)
+
+    def merge(self, other: "DictionaryModel") -> "DictionaryModel":
+        """This model's codes, and further ones, in sort order, for the values that only the other one has seen."""
+        mine = self.codes.df
+        theirs = other.codes.df.select("column", "value", F.col("_w").alias("_more"))
+        known = mine.join(theirs, ["column", "value"], "left").select(
+            "column", "value", (F.col("_w") + F.coalesce("_more", F.lit(0))).alias("_w"), "code")
+        fresh = measure(other.codes.df.join(mine, ["column", "value"], "left_anti").select("column", "value", "_w"))
+        # one row per column
+        begin = mine.groupBy("column").agg((F.max("code") + 1).alias("_begin"))
+        added = self.spec.coded(fresh).join(F.broadcast(begin), "column", "left").select(
+            "column", "value", "_w", (F.col("code") + F.coalesce("_begin", F.lit(0))).cast("int").alias("code"))
+        both = known.unionByName(added).persist(StorageLevel.MEMORY_AND_DISK)
+        return self.spec.model(both, list(dict.fromkeys([*self.tables, *other.tables])))

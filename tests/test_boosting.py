@@ -114,16 +114,16 @@ def test_raw_model_and_binned_model_score_alike(rows, data, monkeypatch):
 
 
 def test_a_fold_stops_patience_rounds_behind_its_best(data):
-    fast = replace(PARAMS, learning_rate=0.8, rounds=40, patience=3, max_depth=4)
-    made = data.boost(fast, [0, 1, 2])
+    fast = replace(PARAMS, learning_rate=0.9, rounds=40, patience=2, max_depth=4)
+    made = data.boost(fast, [0, 1])
     for p in made:
-        best = T.best_round(p.losses, 3)
-        assert len(p.trees) == len(p.losses) == best + 3 < 40
+        best = T.best_round(p.losses, 2)
+        assert len(p.trees) == len(p.losses) == best + 2 < 40
     # the rounds that were not run would not have changed the model
-    longer = data.boost(replace(fast, patience=100), [0], rounds=len(made[0].trees) + 4)[0]
-    assert T.best_round(longer.losses, 3) == T.best_round(made[0].losses, 3)
+    longer = data.boost(replace(fast, patience=100), [0], rounds=len(made[0].trees) + 2)[0]
+    assert T.best_round(longer.losses, 2) == T.best_round(made[0].losses, 2)
     assert [vars(t) for t in longer.trees[:len(made[0].trees)]] == [vars(t) for t in made[0].trees]
-    assert [m.getNumTrees for m in data.models(made, fast)] == [len(p.trees) - 3 for p in made]
+    assert [m.getNumTrees for m in data.models(made, fast)] == [len(p.trees) - 2 for p in made]
 
 
 def test_going_on_equals_one_run(data):
@@ -167,25 +167,25 @@ def test_trees_as_text_and_their_pruning():
 
 def test_search_halves_and_resumes(rows, tmp_path, monkeypatch):
     space = {"learning_rate": ("log", 0.05, 0.6), "lambda_l1": ("log", 1e-3, 1.0), "lambda_l2": ("log", 1e-3, 10.0)}
-    base = replace(PARAMS, rounds=9)
+    base = replace(PARAMS, rounds=4)
     run = []
     plain = boosting.Boosting.boost
     monkeypatch.setattr(boosting.Boosting, "boost", lambda self: (run.append(1), plain(self))[1])
-    search = T.Search(str(tmp_path / "a"), trials=9, base=base, folds=2, space=space)
-    assert search.rungs() == [(9, 1), (3, 3), (1, 9)]
+    search = T.Search(str(tmp_path / "a"), trials=4, base=base, folds=2, space=space, eta=2)
+    assert search.rungs() == [(4, 1), (2, 2), (1, 4)]
     best = search.run(rows)
-    assert len(run) * 2 <= 9 * 2 * 9
+    assert len(run) * 2 <= 4 * 2 * 4
     history = search.history(rows.sparkSession).orderBy("rounds", "trial").collect()
-    assert [(r["trial"], r["rounds"]) for r in history][:9] == [(i, 1) for i in range(9)] and len(history) == 13
+    assert [(r["trial"], r["rounds"]) for r in history][:4] == [(i, 1) for i in range(4)] and len(history) == 7
     assert {"lambda_l1", "lambda_l2"} <= set(history[0]["params"])
-    last = next(r for r in history if r["rounds"] == 9)
+    last = next(r for r in history if r["rounds"] == 4)
     assert best == T.trial_params(base, last["trial"], space=space)
     # a search that was stopped behind the first rung, and one trial of the second
-    some = rows.sparkSession.createDataFrame(history[:10], search._SCHEMA)
+    some = rows.sparkSession.createDataFrame(history[:5], search._SCHEMA)
     some.write.parquet(str(tmp_path / "b"))
     run.clear()
-    again = T.Search(str(tmp_path / "b"), trials=9, base=base, folds=2, space=space)
-    assert again.run(rows) == best and len(run) == 2 * 2 * 2 + 2 * 6
+    again = T.Search(str(tmp_path / "b"), trials=4, base=base, folds=2, space=space, eta=2)
+    assert again.run(rows) == best and len(run) == 2 * 1 + 2 * 2
     run.clear()
     assert again.run(rows) == best and not run
 

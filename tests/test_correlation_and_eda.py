@@ -48,6 +48,22 @@ def test_targets_equal_pandas(frame):
     t.release()
 
 
+@pytest.mark.parametrize("tile", [1, 8])
+def test_tiles_change_nothing(spark, tile):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 19)) + 1e6 * np.arange(19)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    names = [f"c{i}" for i in range(19)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], [*names]).repartition(3)
+    whole, tiled = (C.correlation_pairs(df, names, t).collect() for t in (64, tile))
+    got = {(r["feature1"], r["feature2"]): r["correlation"] for r in tiled}
+    assert len(got) == len(tiled) == 19 * 18 // 2
+    assert got == pytest.approx({(r["feature1"], r["feature2"]): r["correlation"] for r in whole}, abs=1e-12)
+    to_one = {r["feature"]: r["correlation"] for r in C.target_correlations(df, names, "c7", tile).collect()}
+    assert to_one == pytest.approx({c: got[(c, "c7")] if (c, "c7") in got else got[("c7", c)] for c in names if c != "c7"})
+    assert C.correlation_pairs(df, []).count() == C.target_correlations(df, ["c7"], "c7").count() == 0
+
+
 def test_null_pairs_are_left_out(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 5.0), (3.0, None), (4.0, 1.0)], "a double, b double")
     assert C.correlation_pairs(df, ["a", "b"]).first()["correlation"] == pytest.approx(-1.0)

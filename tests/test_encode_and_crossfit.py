@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.functions.keys import hash_fold
-from clickloom.operators.crossfit import SliceDelta, SliceDeltas, slice_full_outer, slice_means
-from clickloom.operators.encode import DictionaryEncoder, RateEncoder
+from clickloom.operators.crossfit import SliceDelta, SliceDeltaModel, SliceDeltas, slice_full_outer, slice_means
+from clickloom.operators.encode import DictionaryEncoder, DictionaryModel, RateEncoder, RateModel
 
 
 def rows(spark, n=3000):
@@ -168,3 +168,61 @@ def test_result_does_not_depend_on_partitioning(spark):
         out = SliceDeltas(specs).fit(part).transform_train(part).select("row_idx", F.round("x", 12)).collect()
         runs.append(sorted(map(tuple, out)))
     assert runs[0] == runs[1] == runs[2]
+
+
+def table_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def test_rate_models_merge_and_persist(spark, tmp_path):
+    df = rows(spark, 1200)
+    encoder = RateEncoder(frequency=["a"], target=[("a", "b"), ("b",)], weight=3.0)
+    whole = encoder.fit(df)
+    parts = [encoder.fit(df.where(F.col("row_idx") % 3 == 0)), encoder.fit(df.where(F.col("row_idx") % 3 != 0))]
+    parts[0].save(str(tmp_path / "one"))
+    both = RateModel.load(spark, str(tmp_path / "one")).merge(parts[1])
+    names = ["row_idx", "a_freq", "a__X__b_te", "b_te"]
+    assert (both.prior, both.rows) == (whole.prior, whole.rows)
+    for way in ("transform_train", "transform_new"):
+        a, b = (table_of(getattr(m, way)(m.transform_frequency(df)), *names) for m in (whole, both))
+        assert a == b and len(a) == 1200
+    both.save(str(tmp_path / "both"))
+    again = RateModel.load(spark, str(tmp_path / "both"))
+    assert table_of(again.transform_train(again.transform_frequency(df)), *names) == table_of(
+        whole.transform_train(whole.transform_frequency(df)), *names)
+    with pytest.raises(ValueError, match="merged"):
+        both.merge(RateEncoder(frequency=["b"], target=[]).fit(df))
+
+
+def test_delta_models_merge_and_persist(spark, tmp_path):
+    df = rows(spark, 1200)
+    specs = [SliceDelta("p", ("a",)), SliceDelta("s", ("a", "b"), alpha=20.0, min_count=3)]
+    spec = SliceDeltas(specs, share_key="b", strict_oof=True)
+    whole = spec.fit(df)
+    first, second = (spec.fit(df.where(F.col("day_of_week").isin(days) == inside)) for days, inside in (
+        (["1", "7"], True), (["1", "7"], False)))
+    first.save(str(tmp_path / "d"))
+    both = SliceDeltaModel.load(spark, str(tmp_path / "d")).merge(second)
+    names = ["row_idx", "p", "s", spec.share_name]
+    assert both.overall == whole.overall and both.by_fold == whole.by_fold
+    for way in ("transform_train", "transform_new"):
+        assert table_of(getattr(both, way)(df), *names) == table_of(getattr(whole, way)(df), *names)
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_dictionaries_extend_and_persist(spark, tmp_path, limit):
+    old = spark.createDataFrame([(1, "b", 1), (2, "d", None), (3, "b", 2)], "row_idx long, x string, y int")
+    new = spark.createDataFrame([(4, "a", 2), (5, "d", 9), (6, "c", 9), (7, None, 10)], "row_idx long, x string, y int")
+    encoder = DictionaryEncoder(["x", "y"], one_task_rows=limit)
+    encoder.fit(old).save(str(tmp_path / "codes"))
+    model = DictionaryModel.load(spark, str(tmp_path / "codes"))
+    assert table_of(model.transform(old), "row_idx", "x_cat", "y_cat") == [(1, 0, 0), (2, 1, None), (3, 0, 1)]
+    both = model.merge(encoder.fit(new))
+    assert table_of(both.transform(old), "row_idx", "x_cat", "y_cat") == [(1, 0, 0), (2, 1, None), (3, 0, 1)]
+    # new values follow in their sort order as text
+    assert table_of(both.transform(new), "row_idx", "x_cat", "y_cat") == [(4, 2, 1), (5, 1, 3), (6, 3, 3), (7, None, 2)]
+    seen = {(r["column"], r["value"]): r["_w"] for r in both.codes.df.collect()}
+    assert seen[("x", "d")] == 2 and seen[("y", "2")] == 2 and len(seen) == 8
+    both.save(str(tmp_path / "more"))
+    again = DictionaryModel.load(spark, str(tmp_path / "more"))
+    assert table_of(again.transform(new), "row_idx", "x_cat", "y_cat") == table_of(both.transform(new), "row_idx", "x_cat", "y_cat")
