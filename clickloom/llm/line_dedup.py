@@ -15,7 +15,8 @@ is deleted, so a line goes if and only if it lies in such a run; short lines go
    because deeper intervals delete nothing more.
 
 DataFrame functions only.  Shuffles carry hashes, never texts, but for the last join, which brings each document the
-places that it loses.  A hot line, segment or pair is counted by partial aggregation; joins on them can be split.
+places that it loses.  A hot line, segment or pair is counted by partial aggregation, and the counts are written before
+they are joined, so that Spark can split the join's partitions.
 
 Defined results: a null text stays null and an empty one empty; rows with one doc_id and one text are one document,
 repeated, and get one result; rows with one doc_id and different texts come in the order of a hash of the text; a null
@@ -41,9 +42,10 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
                 F.length(line).alias("chars"))
 
 
-def _segments(lines: DataFrame) -> DataFrame:
+def _segments(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """Maximal rows of consecutive repeated lines of a document: place, first line ``n0``, ``body``, ``total`` length."""
-    repeated = lines.groupBy("a", "b").agg(F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    # a written table is joined by an exchange of the join's own, whose large partitions Spark splits
+    repeated = scratch.keep(lines.groupBy("a", "b").agg(F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     inside = lines.join(repeated, ["a", "b"])
     by_doc = Window.partitionBy("doc", "t").orderBy("n")
     # a document that is repeated as a row has every line more than once
@@ -68,7 +70,7 @@ def removed_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
     """``doc, t, runs``: for each document that loses lines the runs (first line, end) in order, not overlapping."""
     scratch = scratch or Scratch(docs.sparkSession)
     place = ["doc", "t", "n0"]
-    segments = scratch.keep(_segments(_lines(docs, key, text)).where(F.col("total") >= min_chars))
+    segments = scratch.keep(_segments(_lines(docs, key, text), scratch).where(F.col("total") >= min_chars))
     first = scratch.keep(segments.groupBy("s1", "s2").agg(F.min(F.struct(*place, "body", "total")).alias("f"))
                          .select("s1", "s2", "f.*"))
     whole = segments.join(first.select("s1", "s2", *[F.col(c).alias(f"f_{c}") for c in place]), ["s1", "s2"]).where(
@@ -111,7 +113,8 @@ def removed_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
         named = here.select(*place, "start", "end", "head", "tail", (F.col("end") - F.col("start")).alias("len"),
                             F.struct("doc", "t", (F.col("n0") + F.col("start")).alias("n")).alias("at"))
         name = ["head", "tail", "len"]
-        earliest = named.groupBy(*name).agg(F.min("at").alias("kept"), F.count("*").alias("copies")).where("copies > 1")
+        earliest = scratch.keep(named.groupBy(*name).agg(
+            F.min("at").alias("kept"), F.count("*").alias("copies")).where("copies > 1"))
         later = named.join(earliest, name).where(~F.col("at").eqNullSafe(F.col("kept")))
         found = found.unionByName(later.select("doc", "t", (F.col("n0") + F.col("start")).alias("start"),
                                                (F.col("n0") + F.col("end")).alias("end")))
