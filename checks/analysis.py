@@ -219,7 +219,7 @@ def top_pair_submatrix(spark, sf):
 
 SMALL = T.BoostParams(learning_rate=0.2, max_depth=3, min_data_in_leaf=5, rounds=4, max_bins=32)
 # all rounds, until no fold gets better
-STOPPING = T.BoostParams(learning_rate=0.3, max_depth=4, min_data_in_leaf=20, patience=3)
+STOPPING = T.BoostParams(learning_rate=0.7, max_depth=3, min_data_in_leaf=20, patience=2, max_bins=32)
 HELD = f"{S.DRAW}::DOUBLE / 1152921504606846976.0::DOUBLE < 0.2"
 LEARNABLE = f"{S.IMP}, {S.TRAIN}, {S.TEST}"
 
@@ -257,20 +257,23 @@ def holdout_scores(spark, sf):
 @query("feature_importance", f"""WITH {LEARNABLE}, c AS (SELECT count(gender) < count(*) AS g, count(feat_e_3) < count(*) AS e,
   count(history_a_6) < count(*) AS a, count(history_b_22) < count(*) AS b FROM train)
 SELECT 8::BIGINT + g::INTEGER + e::INTEGER + a::INTEGER + b::INTEGER AS features, 1.0::DOUBLE AS total,
-  'feat_e_3' AS best FROM c""")
+  true AS best_holds_value FROM c""")
 def feature_importance(spark, sf):
+    """The label follows from the value, which feat_e_3 holds with gaps and history_b_11 without its decimals."""
     rows = T.importance(T.train_holdout(learnable(spark, sf)[0], SMALL)[0])
     return rows.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
-                    F.max_by("feature", "importance").alias("best"))
+                    F.max_by("feature", "importance").isin("feat_e_3", "history_b_11").alias("best_holds_value"))
 
 
-@query("permutation_importance", """SELECT * FROM (VALUES ('age', false), ('feat_e_3', true), ('gender', false), ('history_a_6', false),
-  ('history_b_11', true), ('history_b_22', false), ('history_b_23', false), ('inv', false)) t(feature, matters)""")
+@query("permutation_importance", """SELECT feature, feature = 'value' AS matters FROM (VALUES ('age'), ('value'), ('gender'),
+  ('history_a_6'), ('history_b_22'), ('history_b_23'), ('inv')) t(feature)""")
 def permutation_importance(spark, sf):
     rows, _ = learnable(spark, sf)
     model, _ = T.train_holdout(rows, SMALL)
     drops = T.permutation_importance(model, rows)
-    return drops.select("feature", (F.col("mean_importance") > 0.01).alias("matters"))
+    # two columns hold the value, and a model may use either
+    name = F.when(F.col("feature").isin("feat_e_3", "history_b_11"), "value").otherwise(F.col("feature"))
+    return drops.groupBy(name.alias("feature")).agg((F.max("mean_importance") > 0.01).alias("matters"))
 
 
 @query("oof_metrics", f"""WITH {LEARNABLE}, f AS (SELECT 'fold_' || ({S.FOLD} + 1) AS stage FROM train)
