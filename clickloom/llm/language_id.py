@@ -14,7 +14,6 @@ Defined results: a null text, or one without a letter, is ``und`` with score 0;
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 import numpy as np
@@ -35,7 +34,6 @@ SEED = 11
 # Texts of each language at least, and how often training sees a window at least; every label present is learned.
 LEAST = 8
 EPOCHS = 8
-LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 # Windows classified at a time, and softmax values held at a time.
 BLOCK = 64
@@ -189,6 +187,11 @@ def train(rows: list[tuple[str, bytes]], steps: int = STEPS) -> Network | None:
     return Network(languages).fit(x, y, max(steps, EPOCHS * len(x) // BATCH if len(languages) > SAMPLE // LEAST else 0))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter; signs that stand for numbers are none."""
+    return any(map(str.isalpha, text))
+
+
 _TABLES: dict = {}
 
 
@@ -199,7 +202,7 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text", carry: It
     def compute(texts: list) -> list:
         net = sent.value
         names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        lettered = [i for i, t in enumerate(texts) if net and t and LETTER.search(t.decode("utf-8", "replace"))]
+        lettered = [i for i, t in enumerate(texts) if net and t and has_letter(t.decode("utf-8", "replace"))]
         if not lettered:
             return [names, scores]
         if _TABLES.get("net") is not net:

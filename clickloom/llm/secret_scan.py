@@ -7,8 +7,8 @@ label.  Credentials of every length are learned from.  A candidate is a maximal
 characters, however long; every one of every text is scored whole by its format likelihood against a background of
 candidate symbols, and the accepted ones that overlap no base span are added.
 
-Only the automata are fitted on a sample: at most ``SAMPLE`` distinct credentials per label, the first in the order of
-a hash.  Two scans of the texts; only distinct credentials are shuffled.
+Only the automata are fitted on a sample: at most ``SAMPLE`` distinct credentials per label and ``SAMPLE_CHARS``
+characters of them, the first in the order of a hash.  Two scans of the texts; only distinct credentials are shuffled.
 
 Defined results: a null text is empty and has no spans; offsets are code points, ends exclusive; without labelled
 credentials the base spans remain; a text of any length is scanned whole; repeated rows get equal results.
@@ -23,7 +23,7 @@ from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm.batches import map_texts
 from clickloom.session import Scratch
@@ -38,10 +38,10 @@ BASE = [
 KINDS = ["assign", "access", "hex", "learned"]
 FEWEST = 6
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
-# Letters and digits in one run, without which no candidate is accepted: words and numbers have none.
-MIXED = re.compile(r"[A-Za-z][0-9]|[0-9][A-Za-z]")
 RUN = re.compile(r"[A-Za-z0-9]+|[+/_.=-]")
-SAMPLE = 2000
+SAMPLE, SAMPLE_CHARS = 2000, 1 << 20
+# Formats whose verdict a worker remembers, and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 64
 # Confidence of the merge test, and the share of a label's own sample that may score below its threshold.
 ALPHA = 0.01
 QUANTILE = 0.01
@@ -60,6 +60,8 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 def symbols(token: str) -> str:
     """The format of a string: for each character the class of its run, or the separator itself."""
+    if token.isalpha():
+        return ("a" if token.islower() else "A" if token.isupper() else "m") * len(token)
     out = []
     for m in RUN.finditer(token):
         run = m[0]
@@ -209,18 +211,30 @@ class Grammar:
         total = sum(background.values()) + 16
         self.background = {c: math.log((n + 1) / total) for c, n in background.items()}
         self.unseen = math.log(1 / total)
+        self.known: dict[str, bool] = {}
         self.parts = []
         for label in sorted(labelled):
             formats = [symbols(s) for s in labelled[label]]
             if formats:
                 made = Automaton(formats)
-                own = sorted(made.score(f) or -math.inf for f in formats)
+                scores = [made.score(f) for f in formats]
+                own = sorted(-math.inf if x is None else x for x in scores)
                 self.parts.append((made, own[int(QUANTILE * (len(own) - 1))]))
 
     def accepts(self, token: str) -> bool:
-        if not self.parts or not MIXED.search(token):
+        """Whether the format of a candidate is likelier under an automaton than in the background, and as likely as the
+        label's own credentials.  Every candidate is scored; short formats are remembered, as most words share a few."""
+        if not self.parts:
             return False
         form = symbols(token)
+        verdict = self.known.get(form)
+        if verdict is None:
+            verdict = self._verdict(form)
+            if len(form) <= REMEMBERED_CHARS and len(self.known) < REMEMBERED:
+                self.known[form] = verdict
+        return verdict
+
+    def _verdict(self, form: str) -> bool:
         plain = sum(self.background.get(c, self.unseen) for c in form) / (len(form) + 1)
         return any((got := made.score(form)) is not None and got >= least and got > plain
                    for made, least in self.parts)
@@ -259,8 +273,9 @@ def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Grammar:
     """Infer the automata from at most ``sample`` distinct credentials per label."""
     scratch = Scratch(docs.sparkSession)
     found = scratch.keep(labelled_credentials(docs, text))  # read once per label below
-    parts = [found.where(F.col("label") == k).orderBy(F.xxhash64("secret"), "secret").limit(sample)
-             for k, _, _, _ in BASE]
+    upto = F.sum(F.length("secret").cast("long")).over(Window.partitionBy("label").orderBy(F.xxhash64("secret"), "secret"))
+    parts = [found.where(F.col("label") == k).orderBy(F.xxhash64("secret"), "secret").limit(sample).withColumn(
+        "upto", upto).where(F.col("upto") <= SAMPLE_CHARS).drop("upto") for k, _, _, _ in BASE]
     marks = found.where("label = 'symbol'")  # one row per format symbol
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(marks).collect()
     scratch.close()

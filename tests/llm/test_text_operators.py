@@ -192,6 +192,61 @@ def test_automaton_learns_lengths_and_adds_spans():
     assert secret_scan.learned_spans(f"see {token}", [(4, 20, "hex", "")], grammar) == []  # overlaps a base span
 
 
+def plain_learned(text, base, formats, background):
+    """Spans of a plain automaton: a probabilistic machine given as (edges, endings), walked one character at a time."""
+    total = sum(background.values()) + 16
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", text):
+        form = secret_scan.symbols(m[0])
+        plain = sum(np.log((background[c] + 1 if c in background else 1) / total) for c in form) / (len(form) + 1)
+        for machine, least in formats:
+            state, score, alive = 0, 0.0, True
+            for c in form:
+                if c not in machine.next[state]:
+                    alive = False
+                    break
+                to, n = machine.next[state][c]
+                score += np.log(n / machine.seen[state])
+                state = to
+            if alive and machine.ended[state]:
+                score = (score + np.log(max(machine.ended[state] / machine.seen[state], secret_scan.FLOOR))) / (len(form) + 1)
+                if score >= least - 1e-12 and score > plain and not any(a < m.end() and m.start() < b for a, b, _, _ in base):
+                    out.append((m.start(), m.end()))
+                    break
+    return out
+
+
+def test_every_candidate_is_scored(spark):
+    rng = np.random.default_rng(8)
+    letters = ["".join(rng.choice(list(string.ascii_lowercase), 32)) for _ in range(300)]
+    groups = ["-".join("".join(rng.choice(list(s), 4)) for s in (string.digits, string.ascii_lowercase) * 3) for _ in range(300)]
+    texts = [f"secret: {x}" for x in letters] + [f"token={x}" for x in groups]
+    new = ["".join(rng.choice(list(string.ascii_lowercase), 32)), "1234-abcd-5678-efgh-9012-ijkl"]
+    texts += [f"here {x} stands among plain words of many lengths" for x in new]
+    texts += ["word " + " ".join("".join(rng.choice(list(string.ascii_lowercase), n)) for n in range(6, 31)) for _ in range(40)]
+    df = frame(spark, texts)
+    grammar = secret_scan.learn(df)
+    got = [r.spans for r in secret_scan.scan(df, grammar).orderBy("doc_id").collect()]
+    assert got[600:602] == ["learned:5:37", "learned:5:34"] and not any("learned" in s for s in got[602:])
+    counts = secret_scan.symbol_counts([t.encode() for t in texts])
+    for t, spans in zip(texts, got):
+        want = [f"learned:{a}:{b}" for a, b in plain_learned(t, secret_scan.base_spans(t), grammar.parts, counts)]
+        assert [s for s in spans.split(",") if s.startswith("learned")] == want
+
+
+def test_sample_is_bounded_by_its_characters(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SAMPLE_CHARS", 100)
+    seen = []
+    monkeypatch.setattr(secret_scan, "Grammar", lambda labelled, background: seen.append(labelled))
+    secret_scan.learn(frame(spark, [f"token={'q7' * n}" for n in (5, 10, 2000, 20, 7)]))
+    assert sum(map(len, seen[0].get("assign", []))) <= 100
+
+
+def test_symbols_of_words_take_the_short_way():
+    for t in ("abcdef", "ABCDEF", "AbcDEF", "ghijkl", "fade", "FADE"):
+        assert secret_scan.symbols(t) == secret_scan.symbols(t + "-")[:-1]
+
+
 def test_candidates_are_whole_runs_of_any_length(spark):
     short = [f"k{i % 10}x{i * 7 % 10}-{1000 + i}" for i in range(60)]  # 9 characters
     long = ["q7" * 200 + "." + "z5" * (100 + i % 3) for i in range(60)]
@@ -278,3 +333,8 @@ def test_every_label_is_learned(spark):
     got = language_id.sample(df, size=260)
     assert len({name for name, _ in got}) == 260
     assert language_id.train(got, steps=1).languages == [f"l{i:03d}" for i in range(260)]
+
+
+def test_signs_that_stand_for_numbers_are_no_letters():
+    assert not any(language_id.has_letter(t) for t in ("", "½ ² 7", "① Ⅷ _", "٣ 12!", "中"[:0]))
+    assert all(language_id.has_letter(t) for t in ("½ a", "ª", "中", "1é", "ǅ"))
