@@ -22,20 +22,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated line runs; a document that loses all its words goes, n_chars follows the text."""
     names = docs.columns
-    left = line_dedup.dedup_lines(docs).toDF(*names, "_lines", "_removed", "_runs")
-    left = left.where((F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    # by position, as a column of the documents may have any name
+    inner = [f"_c{i}" for i in range(len(names))]
+    left = line_dedup.dedup_lines(docs).toDF(*inner, "_lines", "_removed", "_runs")
+    text = F.col(inner[names.index("text")])
+    left = left.where((F.col("_removed") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in names:
-        now = F.when(F.col("_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
-        left = left.withColumn("n_chars", now.cast(docs.schema["n_chars"].dataType))
-    return left.select(*names)
+        chars = inner[names.index("n_chars")]
+        now = F.when(F.col("_removed") == 0, F.col(chars)).otherwise(F.length(text))
+        left = left.withColumn(chars, now.cast(docs.schema["n_chars"].dataType))
+    return left.select(*inner).toDF(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every component of similar ones, as query op5 links them.
-
-    Similar means op5's contract, 4 words and 0.85, so that the stage and the query agree; not 5 words and 0.8.
-    """
-    return jaccard_join.keep_one_each(docs)
+    """Keep the document with the smallest id of every component of similar ones: 5 words, 0.8 or more."""
+    return jaccard_join.keep_one_each(docs, width=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

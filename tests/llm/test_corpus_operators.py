@@ -26,7 +26,7 @@ def lower(text):
 # --- registry ---
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert entry.queries()["pipeline"] is QUERIES["pipeline"]
 
@@ -263,7 +263,7 @@ def test_pipeline_equals_brute_force(spark, sf):
     kept = [d[0] for d in docs if quality_rules.judge(quality_rules.measure([d[1].encode()]))["kept"][0]]
     left = plain_dedup([(d, text[d]) for d in kept], line_dedup.MIN_CHARS)
     left = [(d, t) for d, (t, gone) in left.items() if not gone or WORD.search(t)]
-    first = {d for d, (_, c) in plain_components(left).items() if c == d}
+    first = {d for d, (_, c) in plain_components(left, 80, 5).items() if c == d}
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {x[0] for x in plain_contamination([x for x in left if x[0] in first], items) if not x[5]}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}
@@ -271,6 +271,64 @@ def test_pipeline_equals_brute_force(spark, sf):
     assert all(r.lossless for r in got.values())
 
 
+def test_every_stage_on_odd_rows(spark, sf):
+    """Nulls, repeated rows and columns named like the operators' own, stage by stage, texts included."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()][:120]
+    docs += [(9001, None), (9002, ""), docs[3], docs[3], (9003, docs[5][1]), (None, docs[7][1] + " and more words here"),
+             (9004, "one two three " * 400)]
+    rows = [(d, t, f"r{i}", 7) for i, (d, t) in enumerate(docs)]
+    names = ["doc_id", "text", "_removed", "_lines"]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _removed string, _lines int")
+    kept = [r for r in rows if quality_rules.judge(quality_rules.measure([(r[1] or "").encode()]))["kept"][0]]
+    stage = dict(corpus_pipeline.STAGES)
+
+    def run(name, frame):
+        out = stage[name](spark, frame, sf)
+        assert out.columns == names
+        return sorted((tuple(r) for r in out.collect()), key=repr)
+
+    assert run("quality rules", table) == sorted(kept, key=repr)
+    table = spark.createDataFrame(kept, table.schema)
+    order = {d: i for i, d in enumerate(sorted({r[0] for r in kept}, key=lambda d: (d is not None, d)))}
+    texts = sorted({(order[r[0]], r[1]) for r in kept})
+    left = {d: t for d, (t, gone) in plain_dedup(texts, line_dedup.MIN_CHARS).items() if not gone or WORD.search(t)}
+    lined = [(r[0], left[order[r[0]]], *r[2:]) for r in kept if order[r[0]] in left]
+    assert run("line dedup", table) == sorted(lined, key=repr)
+    table = spark.createDataFrame(lined, table.schema)
+    found = plain_components(sorted({(r[0], r[1]) for r in lined if r[0] is not None}), 80, 5)
+    first = {d for d, (_, c) in found.items() if c == d}
+    one = [r for r in run("n-gram Jaccard join", table) if r[0] is not None]
+    assert one == sorted((r for r in lined if r[0] in first), key=repr)
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = {x[0] for x in plain_contamination(sorted({(r[0], r[1]) for r in one}), items) if not x[5]}
+    assert run("benchmark decontamination", spark.createDataFrame(one, table.schema)) == sorted(
+        (r for r in one if r[0] in clean), key=repr)
+
+
+@pytest.fixture
+def low_skew_limits(spark):
+    limits = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_line_is_split(spark, low_skew_limits):
+    rng = random.Random(5)
+    # every document holds the same line several times, in many map tasks
+    rows = [(i, "\n".join(x for _ in range(12) for x in ("", f"{rng.random()} some text", f"line {rng.randint(0, 300)}"))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(24)
+    scratch = line_dedup.Scratch(spark)
+    segments = line_dedup._segments(line_dedup._lines(docs, "doc_id", "text"), scratch)
+    segments.collect()
+    assert "skew=true" in segments._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stages_keep_the_columns_and_take_empty_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
