@@ -13,8 +13,8 @@ and single symbols are apart, so different texts are different streams.  Every t
 3. Scores: n-grams that are frequent in the corpus, ``FREQUENT`` at most, are broadcast and looked up in numpy; the
    others of a document go through a sharded join on the key and are added up per document.
 4. Thresholds: per language from a histogram of log-perplexity over all trusted documents: the upper quantile plus
-   ``SLACK`` times its distance from the median.  ``LANGUAGES`` most frequent languages have their own; the others,
-   and a null language, share the threshold over all.
+   ``SLACK`` times its distance from the median.  Every language with trusted documents has its own; the
+   others, and a null language, share the threshold over all.
 
 Defined results: a null or empty text has no perplexity and is not kept; without trusted text no document has a
 threshold and all with a text are kept; repeated rows with one id are scored alike; a document labelled several times
@@ -47,7 +47,6 @@ QUANTILE = 0.99
 SLACK = 4.0
 # Histogram bins per unit of log-perplexity.
 BINS = 1000
-LANGUAGES = 1000
 COUNT_SLICE = 8 << 20
 # Bits of the bitmap of trusted documents: at most a 64th as many rows are broadcast.
 TRUSTED_BITS = 1 << 24
@@ -113,14 +112,16 @@ def count_keys(docs: DataFrame, text: str) -> DataFrame:
     return counted.select(F.inline(F.arrays_zip("key", "n"))).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def of_trusted(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of ``docs`` (id, text) whose id is in ``trusted`` (id, no nulls)."""
     bit = F.xxhash64("id").bitwiseAND(TRUSTED_BITS - 1)
     split = lambda df: df.withColumns({"_w": F.shiftright(bit, 6), "_b": (bit % 64).cast("int")})
     words = split(trusted).groupBy("_w").agg(F.bit_or(F.expr("shiftleft(1L, _b)")).alias("_bits"))
     likely = split(docs).join(F.broadcast(words), "_w").where(F.expr("shiftrightunsigned(_bits, _b) & 1 = 1"))
+    # written, or the join would be moved below the bitmap and all texts be shuffled
+    likely = scratch.keep(likely.select("id", "text"))
     # always by a shuffle, whatever the sizes: the list of trusted documents has no bound
-    return likely.select("id", "text").join(trusted.hint("merge"), "id", "left_semi")
+    return likely.join(trusted.hint("merge"), "id", "left_semi")
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -229,12 +230,12 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
         shares = rows.withColumns({"upto": F.sum("c").over(order), "total": F.sum("c").over(Window.partitionBy(*by))})
         reach = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin") + 1)) / F.lit(float(BINS))
         grouped = shares.groupBy(*by) if by else shares.groupBy()
-        return grouped.agg(reach(quantile).alias("high"), reach(0.5).alias("mid"), F.max("total").alias("docs")).select(
-            *by, (F.col("high") + slack * (F.col("high") - F.col("mid"))).alias("limit"), "docs")
+        return grouped.agg(reach(quantile).alias("high"), reach(0.5).alias("mid")).select(
+            *by, (F.col("high") + slack * (F.col("high") - F.col("mid"))).alias("limit"))
 
-    known = limits(cells.where("lang is not null"), ["lang"]).orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
+    known = limits(cells.where("lang is not null"), ["lang"])
     everything = limits(cells.groupBy("bin").agg(F.sum("c").alias("c")), []).first()
-    return known.select("lang", "limit"), everything.limit if everything else None
+    return known, everything.limit if everything else None
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -244,13 +245,14 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"),
                        F.col(f"`{lang}`").cast("string").alias("lang"))
     trusted = scratch.keep(labels.where("quality = 1").select(F.col(key).alias("id")).where("id is not null").distinct())
-    counts = scratch.keep(count_keys(of_trusted(rows.select("id", "text"), trusted), "text"))
+    counts = scratch.keep(count_keys(of_trusted(rows.select("id", "text"), trusted, scratch), "text"))
     wanted = scratch.keep(count_keys(rows, "text"))
     probabilities = scratch.keep(log_probabilities(counts, wanted, scratch))
     scored = scratch.keep(score(rows, probabilities, "id", "text", ["id", "lang"], scratch).join(
         trusted.withColumn("trusted", F.lit(True)), "id", "left"))
     known, overall = thresholds(scored.where("trusted"), quantile, slack)
     limit = F.coalesce("limit", F.lit(overall if overall is not None else math.inf))
-    out = scored.join(F.broadcast(known), "lang", "left")
+    # a row per language, however many there are: written, so that its size says how it is joined
+    out = scored.join(scratch.keep(known), "lang", "left")
     return out.select("id", "lang", "n_symbols", "perplexity", F.coalesce("trusted", F.lit(False)).alias("trusted"),
                       F.coalesce(F.log("perplexity") <= limit, F.lit(False)).alias("kept")).withColumnRenamed("id", key)
