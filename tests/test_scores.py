@@ -224,6 +224,18 @@ def test_importances(fitted, learnable):
     assert drops["x"] > 0.1 > abs(drops["noise"])
 
 
+def test_the_importance_query_names_the_best_feature(spark, sf):
+    """The query names the feature of the largest gain, and its SQL finds that name from the rows."""
+    from checks import analysis
+    from checks.compare import connect
+    from checks.registry import ORACLES
+
+    top = T.importance(T.train_holdout(analysis.learnable(spark, sf)[0], analysis.SMALL)[0], 1).first()["feature"]
+    assert analysis.feature_importance(spark, sf).first()["best"] == top
+    found = connect(sf).execute(ORACLES["feature_importance"])
+    assert dict(zip([c[0] for c in found.description], found.fetchone()))["best"] == top
+
+
 def test_permutation_importance_equals_numpy(fitted, learnable):
     """One scan per repeat; the drops follow from the trees and the ring of successors."""
     got = {r["feature"]: (r["mean_importance"], r["std_importance"])
