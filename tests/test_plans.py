@@ -123,3 +123,33 @@ def test_no_folders_or_tables_are_left(spark, tmp_path):
     scratch.keep(edges)
     scratch.close()
     assert not os.path.exists(scratch.path.removeprefix("file:"))
+
+
+@pytest.fixture
+def a_task_per_file(spark):
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "128m")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("files", [5, 20])
+def test_correlations_scan_in_as_many_tasks_as_the_table_has_parts(spark, sf, tmp_path, a_task_per_file, files):
+    """The moments are merged behind a shuffle; one task reads neither the table nor the moments of many tasks."""
+    columns = ["feat_a_1", "feat_e_3", "history_b_1"]
+    imp.feature_table(spark, sf).select("clicked", *columns).repartition(files).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    tracker = spark.sparkContext.statusTracker()
+    for name, df in (("pairs", correlation.correlation_pairs(table, columns)),
+                     ("targets", correlation.target_correlations(table, columns))):
+        spark.sparkContext.setJobGroup(f"{name} {files}", name)
+        try:
+            assert df.count() == 3
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(f"{name} {files}")
+                 for s in tracker.getJobInfo(j).stageIds]
+        assert max(tasks) == files
+        # beyond 16 tasks, their moments are merged in two levels
+        assert (4 in tasks) == (files == 20)
