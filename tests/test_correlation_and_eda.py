@@ -89,6 +89,15 @@ def test_nan_offsets_and_leading_nulls(spark):
             assert value == pytest.approx(want.loc[pair], abs=1e-6)
 
 
+def test_offsets_cost_no_digits_between_tasks(spark):
+    x = np.random.default_rng(4).integers(0, 100, size=(500, 2)).astype(float)
+    for offset in (0.0, 2.0 ** 40):
+        df = spark.createDataFrame([tuple(map(float, r)) for r in x + offset], "a double, b double").repartition(7)
+        want = pytest.approx(np.corrcoef(x.T)[0, 1], abs=1e-12)
+        assert C.correlation_pairs(df, ["a", "b"]).first()["correlation"] == want
+        assert C.target_correlations(df, ["a"], "b").first()["correlation"] == want
+
+
 def test_infinite_and_empty_columns_are_undefined(spark):
     df = spark.createDataFrame([(1.0, float("inf"), None), (2.0, 1.0, None), (3.0, 2.0, None)], "a double, b double, c double")
     assert [r["correlation"] for r in C.correlation_pairs(df, ["a", "b", "c"]).collect()] == [None] * 3
